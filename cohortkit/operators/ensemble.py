@@ -122,8 +122,8 @@ def pick_calibration(scores: DataFrame, candidates: Sequence[str], default_cut:
     candidate whose accuracy strictly beats ``base_accuracy`` and every
     earlier candidate.  Returns ``(candidate, accuracy, rank)`` for all
     candidates; ``chosen`` is true for at most one."""
-    long = scores.select(score, label, *[F.col(c).cast("string").alias(c) for c in candidates]).withColumn("__row", F.monotonically_increasing_id())
-    long = long.unpivot(["__row", score, label], list(candidates), "candidate", "group").withColumn(
+    long = scores.select(score, label, *[F.col(c).cast("string").alias(c) for c in candidates])
+    long = long.unpivot([score, label], list(candidates), "candidate", "group").withColumn(
         "group", F.coalesce(F.col("group"), F.lit("Unknown")))
     cuts = best_cut(long, by=["candidate", "group"], score=score, label=label)
     d = F.lit(float(default_cut))

@@ -69,9 +69,9 @@ def roc_points(scores: DataFrame, hot_rows: int | None = None) -> DataFrame:
     c = scores.groupBy("model", "p").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos"))
     c = c.withColumn("neg", F.col("n") - F.col("pos"))
     c = prefix_sums(c, ["model"], [F.col("p").desc()], {"ctp": "pos", "cfp": "neg"}, hot_rows=hot_rows)
-    tot = c.groupBy("model").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = c.join(tot, "model").select("model", F.col("p").alias("threshold"), (F.col("cfp") / F.col("N")).alias("fpr"),
-                                      (F.col("ctp") / F.col("P")).alias("tpr"))
+    tot = c.groupBy("model").agg(F.sum("pos").alias("__tp"), F.sum("neg").alias("__tn"))
+    pts = c.join(tot, "model").select("model", F.col("p").alias("threshold"), (F.col("cfp") / F.col("__tn")).alias("fpr"),
+                                      (F.col("ctp") / F.col("__tp")).alias("tpr"))
     origin = tot.select("model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(origin)
 

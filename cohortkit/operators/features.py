@@ -131,3 +131,14 @@ def select_numeric(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:
     return df.withColumn(out or col, C.lookup(col, mapping))
+
+
+def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    """Constant fill per column (``fillna`` with a dict)."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()})
+
+
+def cond_means(df: DataFrame, measure: str, conditions: Mapping[str, Column]) -> DataFrame:
+    """One row: mean of ``measure`` over the rows meeting each condition."""
+    m = F.col(measure).cast("double")
+    return df.agg(*[F.avg(F.when(cond, m)).alias(name) for name, cond in conditions.items()])

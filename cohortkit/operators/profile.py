@@ -95,7 +95,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0
 
 
 def _qname(q: float) -> str:
-    return "q" + f"{q:g}".replace("0.", "").replace(".", "_")
+    return f"q{int(round(q * 100))}"
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:

@@ -73,11 +73,15 @@ def chi2_sf(x: float, k: int) -> float:
     return math.exp(-z + a * math.log(z) - lg) * h
 
 
-@F.pandas_udf("double")
-def _chi2_sf_udf(x: pd.Series, k: pd.Series) -> pd.Series:
+def _chi2_sf_batch(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(float(a), int(b)) if pd.notna(a) and pd.notna(b) else float("nan") for a, b in zip(x, k)])
 
 
+def _chi2_sf_udf(x, k):
+    """Vectorised (Arrow batch) p-value on the small per-column result."""
+    return F.pandas_udf(_chi2_sf_batch, "double")(x, k)
+
+
 def chi_square(df: DataFrame, cols: Sequence[str], label: str, missing: str = "Missing", with_p: bool = True) -> DataFrame:
     """Chi-square test of independence of each column against ``label``.
 
