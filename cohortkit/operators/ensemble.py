@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import weighted_sum
@@ -64,28 +64,91 @@ def weight_grid(df: DataFrame, steps: int = 100) -> DataFrame:
     return with_i.select("*", j)
 
 
-def tune_blend(wide: DataFrame, models: Sequence[str], label: str = "y", steps: int = 100, hot_rows: int | None = None) -> DataFrame:
-    """Best blend of three score columns on the ``1/steps`` weight grid, judged
-    by best-cut accuracy; ties keep the first triple in (w1, w2) order.
-    Returns one row ``(w_<m>..., cut, correct, n, accuracy)``.
+def _grid_weights(wi: Column, wj: Column, steps: int):
+    return (wi.cast("double") / steps, wj.cast("double") / steps, (F.lit(steps) - wi - wj).cast("double") / steps)
+
+
+# Largest score table a single task scores for its share of the grid (rows
+# are 4 numbers each); above it the grid goes through Spark windows.
+BLEND_TASK_ROWS = 2_000_000
+BLEND_CHUNK_SCHEMA = "__wi int, __wj int, cut double, correct long"
+
+
+def _blend_chunk_scorer(steps: int, chunks: int):
+    """Per chunk group (all score rows, replicated for this chunk): score the
+    chunk's grid points with a sort + cumulative sum each (same cut rule as
+    ``best_cut``)."""
+    import numpy as np
+    import pandas as pd
+
+    side = steps - 2
+
+    def run(pdf):
+        chunk = int(pdf["__chunk"].iloc[0])
+        y = pdf["__y"].to_numpy(dtype=np.int64)
+        a, b, c = (pdf[k].to_numpy(dtype=np.float64) for k in ("__a", "__b", "__c"))
+        ptot = int(y.sum())
+        out_i, out_j, out_cut, out_cor = [], [], [], []
+        for lin in range(chunk, side * side, chunks):
+            i, j = lin // side + 1, lin % side + 1
+            if i + j > steps - 1:
+                continue
+            s = (i / steps) * a + (j / steps) * b + ((steps - i - j) / steps) * c
+            order = np.argsort(s, kind="stable")
+            ss, ys = s[order], y[order]
+            last = np.flatnonzero(np.r_[ss[1:] != ss[:-1], True])     # end of each run of equal scores
+            cn = last + 1
+            cpos = np.cumsum(ys)[last]
+            correct = (cn - cpos) + (ptot - cpos)
+            k = int(np.argmax(correct))                                 # first = smallest score
+            beaten = int(correct[k]) > ptot
+            out_i.append(i)
+            out_j.append(j)
+            out_cut.append(float(ss[last[k]]) if beaten else NEG_INF)
+            out_cor.append(int(correct[k]) if beaten else ptot)
+        return pd.DataFrame({"__wi": np.array(out_i, dtype=np.int32), "__wj": np.array(out_j, dtype=np.int32),
+                            "cut": np.array(out_cut, dtype=np.float64), "correct": np.array(out_cor, dtype=np.int64)})
+
+    return run
+
+
+def tune_blend(wide: DataFrame, models: Sequence[str], label: str = "y", steps: int = 100, hot_rows: int | None = None,
+               chunks: int | None = None) -> DataFrame:
+    """Exhaustive best blend of three score columns on the ``1/steps`` grid
+    (all three weights >= 1 step), judged by best-cut accuracy; ties keep the
+    first triple in (w1, w2) order.  One row ``(w_<m>..., cut, correct, n, accuracy)``.
+
+    The work is (rows x grid points).  When the table has at most
+    ``BLEND_TASK_ROWS`` rows (checked with a count), the rows are replicated
+    once per chunk of grid points (``chunks`` copies, grouped by chunk) and each task scores its own grid points with a vectorised sort
+    and cumulative sum, so only rows x chunks move through the shuffle.
+    Larger tables take the general path: rows x grid points through
+    ``best_cut`` and its skew-safe running sums, all in Spark.
+    """
+    from cohortkit.operators.windows import HOT_ROWS
 
-    Work is rows x grid points; both the per-(triple, score) collapse and the
-    running sums are distributed over the triples (and over score ranges for
-    very large tables)."""
     a, b, c = models
-    g = weight_grid(wide.select(F.col(label).alias("__y"), a, b, c), steps)
-    w1 = F.col("__wi").cast("double") / steps
-    w2 = F.col("__wj").cast("double") / steps
-    w3 = (F.lit(steps) - F.col("__wi") - F.col("__wj")).cast("double") / steps
-    g = g.select("__wi", "__wj", "__y", (w1 * F.col(a) + w2 * F.col(b) + w3 * F.col(c)).alias("__s"))
-    cuts = best_cut(g, by=["__wi", "__wj"], score="__s", label="__y", hot_rows=hot_rows)
+    spark = wide.sparkSession
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    base = wide.select(F.col(label).cast("int").alias("__y"), F.col(a).alias("__a"), F.col(b).alias("__b"), F.col(c).alias("__c"))
+    n_rows = base.count()
+    side = steps - 2          # i, j in 1..steps-2 (and i + j <= steps - 1)
+    if n_rows <= min(hot_rows, BLEND_TASK_ROWS):
+        p = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # an explicit partition count keeps one chunk per task (not merged by AQE)
+        rep = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("__chunk")).repartition(p, "__chunk")
+        cuts = rep.groupBy("__chunk").applyInPandas(_blend_chunk_scorer(steps, p), BLEND_CHUNK_SCHEMA).withColumn(
+            "n", F.lit(n_rows).cast("long"))
+    else:
+        g = weight_grid(base, steps)
+        w1, w2, w3 = _grid_weights(F.col("__wi"), F.col("__wj"), steps)
+        g = g.select("__wi", "__wj", "__y", (w1 * F.col("__a") + w2 * F.col("__b") + w3 * F.col("__c")).alias("__s"))
+        cuts = best_cut(g, by=["__wi", "__wj"], score="__s", label="__y", hot_rows=hot_rows)
     top = cuts.agg(F.min(F.struct((-F.col("correct")).alias("nc"), F.col("__wi"), F.col("__wj"), F.col("cut"), F.col("n"))).alias("t"))
     wi, wj = F.col("t.__wi"), F.col("t.__wj")
-    return top.select(
-        (wi.cast("double") / steps).alias(f"w_{a}"), (wj.cast("double") / steps).alias(f"w_{b}"),
-        ((F.lit(steps) - wi - wj).cast("double") / steps).alias(f"w_{c}"),
-        F.col("t.cut").alias("cut"), (-F.col("t.nc")).alias("correct"), F.col("t.n").alias("n"),
-        ((-F.col("t.nc")) / F.col("t.n")).alias("accuracy"))
+    w1, w2, w3 = _grid_weights(wi, wj, steps)
+    return top.select(w1.alias(f"w_{a}"), w2.alias(f"w_{b}"), w3.alias(f"w_{c}"), F.col("t.cut").alias("cut"),
+                      (-F.col("t.nc")).alias("correct"), F.col("t.n").alias("n"), ((-F.col("t.nc")) / F.col("t.n")).alias("accuracy"))
 
 
 def group_cuts(scores: DataFrame, group: str, default_cut: float | Column, min_count: int = 100, score: str = "p",
