@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workflow reads every input once (no watermarks, windows over event time
+or state), so there is no streaming operator to provide.  The batch
+operators are plain DataFrame transformations and also apply to a
+``readStream`` DataFrame where Spark supports the same operation.
+"""
