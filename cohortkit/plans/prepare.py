@@ -181,6 +181,11 @@ def build_features(raw: DataFrame, null_family: str = "self", cut_every: int = 2
     if cut_every:
         df = cut_lineage(df, "imputed")
     df = engineer(df, null_family)
+    if cut_every:
+        # written once: the null count, the medians and the final rows all
+        # read it instead of replaying the group-feature joins
+        df = cut_lineage(df.select(ID_COL, TRAIN_FLAG, LABEL_COL, *[c for c in keep if c not in NUM_FEATURES + CAT_FEATURES],
+                                   *NUM_FEATURES, *CAT_FEATURES), "engineered")
     df = FE.clean_numeric(df, NUM_FEATURES)
     extra = [c for c in keep if c not in NUM_FEATURES + CAT_FEATURES]
     return df.select(ID_COL, TRAIN_FLAG, LABEL_COL, *extra, *NUM_FEATURES, *CAT_FEATURES)
