@@ -52,9 +52,15 @@ def _stat_name(c: str) -> str:
     return f"__stat_{c}"
 
 
-def group_stats(df: DataFrame, keys: Sequence[str], modes: Sequence[str] = (), medians: Sequence[str] = ()) -> DataFrame:
+def group_stats(df: DataFrame, keys: Sequence[str], modes: Sequence[str] = (), medians: Sequence[str] = (),
+                approx_medians: bool = False, accuracy: int = 10_000) -> DataFrame:
     """One grouped aggregation computing every requested statistic.
 
+    ``approx_medians=True`` (opt-in) uses ``percentile_approx``: a fixed-size
+    sketch per key whatever the number of distinct values, for continuous
+    columns of unbounded cardinality.  It returns an observed value (no
+    interpolation), so results differ from the exact median.
+
     ``mode(c, deterministic=True)`` ignores nulls and returns the lowest of
     equally frequent values; ``median`` is exact with interpolation.  Both
     aggregate partially before the shuffle (value -> count maps), so the size
@@ -62,7 +68,10 @@ def group_stats(df: DataFrame, keys: Sequence[str], modes: Sequence[str] = (), m
     by the number of rows.
     """
     aggs: list[Column] = [F.mode(F.col(c), True).alias(_stat_name(c)) for c in modes]
-    aggs += [F.median(F.col(c).cast("double")).alias(_stat_name(c)) for c in medians]
+    if approx_medians:
+        aggs += [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(_stat_name(c)) for c in medians]
+    else:
+        aggs += [F.median(F.col(c).cast("double")).alias(_stat_name(c)) for c in medians]
     if not keys:
         return df.agg(*aggs)
     return df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
@@ -113,24 +122,24 @@ def fill_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, cols: str | Sequence[str], levels: Sequence[Sequence[str]], global_fill: bool = True,
-                cut_every: int = 0) -> DataFrame:
+                cut_every: int = 0, approx_medians: bool = False) -> DataFrame:
     """Sequential group medians over ``levels`` then (optionally) the global
     median."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     plan = [Level(keys=list(k), medians=cols) for k in levels]
     if global_fill:
         plan.append(Level(keys=[], medians=cols))
-    return cascade(df, plan, cut_every=cut_every)
+    return cascade(df, plan, cut_every=cut_every, approx_medians=approx_medians)
 
 
-def cascade(df: DataFrame, levels: Sequence[Level], cut_every: int = 0) -> DataFrame:
+def cascade(df: DataFrame, levels: Sequence[Level], cut_every: int = 0, approx_medians: bool = False) -> DataFrame:
     """Run ``levels`` in order; each sees the values filled by the previous
     ones.  ``cut_every > 0`` checkpoints after every that many levels."""
     for i, lv in enumerate(levels, start=1):
         cols = list(lv.modes) + list(lv.medians)
         if not cols:
             continue
-        stats = group_stats(df, lv.keys, modes=lv.modes, medians=lv.medians)
+        stats = group_stats(df, lv.keys, modes=lv.modes, medians=lv.medians, approx_medians=approx_medians)
         df = fill_from_stats(df, stats, lv.keys, cols)
         if cut_every and i % cut_every == 0 and i < len(levels):
             df = cut_lineage(df)

@@ -43,3 +43,9 @@ def test_flag_rule_and_repair(spark):
     assert out[1] is False and out[2] is True and out[3] is True
     rep = repair_flag(df.selectExpr("id", "f", "s1 + s2 AS total"), "f", "total")
     assert _by_id(rep, "f")[4] is False
+
+
+def test_approx_median_opt_in(spark):
+    df = spark.createDataFrame([(1, "g", 1.0), (2, "g", 2.0), (3, "g", 3.0), (4, "g", None)], "id int, k string, x double")
+    assert _by_id(fill_median(df, "x", [["k"]], approx_medians=True), "x")[4] == 2.0
+    assert _by_id(fill_median(df, "x", [["k"]]), "x")[4] == 2.0
