@@ -7,6 +7,7 @@ count) and splits the keys:
 
 * ordinary keys (at most ``hot_rows`` rows) use the plain window - each
   group fits one task;
+* without keys, the whole table takes the range path below, at any size;
 * hot keys (a bounded number: at most ``rows / hot_rows`` of them, so their
   list is broadcast) take the range path:
 
@@ -77,12 +78,10 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         hot = sizes.where(F.col("__size") > hot_rows).select(*[F.col(k).alias(f"__hk_{i}") for i, k in enumerate(keys)],
                                                               F.lit(True).alias("__hot"))
         n_hot = hot.count()
-    else:
-        n_hot = 1 if src.count() > hot_rows else 0
-    if n_hot == 0:
-        res = _window_path(src, keys, order_cols, outs)
-    elif not keys:
+    if not keys:  # one key for the whole table: never one task
         res = _range_path(src, keys, order_cols, outs, n_parts)
+    elif n_hot == 0:
+        res = _window_path(src, keys, order_cols, outs)
     else:
         # the hot-key list has at most rows/hot_rows entries: a bounded broadcast
         cond = [F.col(k).eqNullSafe(F.col(f"__hk_{i}")) for i, k in enumerate(keys)]
