@@ -46,8 +46,8 @@ _TO_UNIT = 1.0 / float(1 << 53)
 
 
 def shingle_units(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row and hash of every unit of weight, sorted by row and hash, and each
-    row's word count and hash of its word sequence."""
+    """Row and hash of every unit of weight, and each row's word count and
+    hash of its word sequence."""
     start, end, row = W.find_words(data, offsets, W.ALNUM)
     n_rows = len(offsets) - 1
     h = W.hash_words(data, start, end)
@@ -62,13 +62,16 @@ def shingle_units(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.nda
             rows.append(short)
             units.append(W.hash_ngrams(h, size)[first[short]])
     row, unit = np.concatenate(rows), np.concatenate(units)
-    order = np.lexsort((unit, row))
-    row, unit = row[order], unit[order]
-    # the j-th occurrence of a shingle is a unit of its own
-    new = np.r_[True, (row[1:] != row[:-1]) | (unit[1:] != unit[:-1])] if len(row) else np.zeros(0, bool)
-    at = np.arange(len(row))
-    nth = at - np.maximum.accumulate(np.where(new, at, 0)) if len(row) else at
-    unit = np.where(nth > 0, W.mix(unit + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), unit)
+    # the j-th occurrence of a shingle is a unit of its own; few shingles occur twice in a row
+    both = W.mix(unit + (row.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    sorted_both = np.sort(both)
+    twice = W.distinct(sorted_both[1:][sorted_both[1:] == sorted_both[:-1]])
+    if len(twice):
+        at = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, both), len(twice) - 1)] == both)
+        at = at[np.argsort(both[at], kind="stable")]
+        new, place = np.r_[True, both[at][1:] != both[at][:-1]], np.arange(len(at))
+        nth = place - np.maximum.accumulate(np.where(new, place, 0))
+        unit[at] = np.where(nth > 0, W.mix(unit[at] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), unit[at])
     # hash of the word sequence: position by position, summed
     place = (np.arange(len(h)) - first[np.searchsorted(first, np.arange(len(h)), side="right") - 1]).astype(np.uint64) if len(h) else np.zeros(0, np.uint64)
     terms = np.zeros(len(h) + 1, np.uint64)
@@ -140,8 +143,8 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, n: int, id_col: str, text_c
             for i, j in W.slices(offsets):
                 row, unit, _, _ = shingle_units(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
                 order = np.lexsort((unit, row))
+                row, unit = row[order], unit[order]
                 first = np.searchsorted(row, np.arange(j - i + 1))
-                unit = unit[order]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([unit[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], pa.binary())], ["node", "units"])
 
     kind = source.schema["node"].dataType.simpleString()

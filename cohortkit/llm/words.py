@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-__all__ = ["ALNUM", "NONSPACE", "LOWER", "utf8", "slices", "find_words", "hash_words", "hash_ngrams", "mix"]
+__all__ = ["ALNUM", "NONSPACE", "LOWER", "utf8", "slices", "find_words", "hash_words", "hash_ngrams", "mix", "distinct"]
 
 #: Bytes of a batch that one vectorised step handles (a longer text is a step of its own).
 STEP_BYTES = 4 << 20
@@ -42,6 +42,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers, by sorting: here much faster than a hash set."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a text column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
