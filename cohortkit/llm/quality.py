@@ -78,7 +78,7 @@ def _shapes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Distinct (row, bucket) pairs of a batch as sorted numbers."""
+    """Distinct (row, bucket) pairs of a batch as numbers."""
     start, end, row = W.find_words(data, offsets, W.ALNUM)
     h = W.hash_words(data, start, end)
     shape_row, shape = _shapes(data, offsets)
@@ -88,7 +88,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             same = r[1:] == r[:-1]
             r, x = r[1:][same], W.hash_ngrams(x, 2)[same] if len(x) > 1 else x[:0]
         keys.append((r << _WIDTH) | _bucket(x, kind))
-    return np.unique(np.concatenate(keys))
+    return np.concatenate([W.distinct(k) for k in keys])
 
 
 class Ratios:
@@ -190,21 +190,25 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
 
 
 def resample(docs: DataFrame, labels: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", keep: int | None = None,
-             z: float = 2.0, seed: int = 17, max_labels: int = MAX_LABELS) -> DataFrame:
-    """The kept documents, with all columns of ``docs`` and a last column
-    ``log_weight``.  ``keep``: how many (default: see above).  Scores are
-    written once as (id, score) to find the k-th; the kept rows are then
-    filtered in a scan, so no text is shuffled."""
+             z: float = 2.0, seed: int = 17, max_labels: int = MAX_LABELS, columns: list[str] | None = None) -> DataFrame:
+    """The kept documents: ``columns`` of ``docs`` (default: all) and a last
+    column ``log_weight`` (unless one of them has that name).  ``keep``: how
+    many (default: see above).  Scores are written once, with the columns asked
+    for if the text isn't one of them; else the kept rows are filtered in
+    another scan, so no text is shuffled."""
+    columns = list(docs.columns) if columns is None else columns
     ratios, share, n_labels = fit(docs, labels, target, id_col, text_col, max_labels)
     noise = -F.log(-F.log(unit_random(F.col(id_col), seed)))
-    scored = log_weights(docs, ratios, text_col, "__weight").withColumn("__score", F.col("__weight") + noise)
-    scores = written(scored.select("__score"), "gumbel")
+    narrow = text_col not in columns
+    source = docs.select(*dict.fromkeys([id_col, text_col, *columns]))
+    scored = log_weights(source, ratios, text_col, "__weight").withColumn("__score", F.col("__weight") + noise)
+    scores = written(scored.select("__score", "__weight", *columns) if narrow else scored.select("__score"), "gumbel")
     n = scores.count()
     if keep is None:
         up = z * math.sqrt(share * (1 - share) / n_labels) if n_labels else 1.0
         keep = math.ceil(n * min(1.0, share + up))
+    kept = scores if narrow else scored
     if keep < n:
-        scored = scored.where(F.col("__score") >= F.lit(kth_largest(scores, "__score", keep))) if keep else scored.limit(0)
-    if "log_weight" in docs.columns:
-        return scored.select(*docs.columns)
-    return scored.select(*docs.columns, F.col("__weight").alias("log_weight"))
+        kept = kept.where(F.col("__score") >= F.lit(kth_largest(scores, "__score", keep))) if keep else kept.limit(0)
+    weight = [] if "log_weight" in columns else [F.col("__weight").alias("log_weight")]
+    return kept.select(*columns, *weight)

@@ -29,7 +29,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that are kept."""
-    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), GOOD).select("doc_id", "source", "lang", "log_weight")
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), GOOD, columns=["doc_id", "source", "lang"])
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
