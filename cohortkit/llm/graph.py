@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm.common import written
 
-__all__ = ["components", "hub_pairs", "cross_pairs"]
+__all__ = ["components", "hub_pairs", "mixed_buckets", "cross_pairs"]
 
 #: Salts over which a node's links are dealt, so that a hub's links aren't one task's.
 _SALTS = 32
@@ -64,16 +64,21 @@ def hub_pairs(members: DataFrame, keys: list[str], node: str = "node") -> DataFr
     return low.unionByName(high).where("a < b").distinct()
 
 
+def mixed_buckets(members: DataFrame, keys: list[str], root: str) -> DataFrame:
+    """``members`` in buckets that hold more than one component (column
+    ``root``), with the bucket's largest component as ``main``.  Buckets that lie
+    in one component are gone, so groups of copies that are tied together
+    already cost nothing more."""
+    sizes = members.groupBy(*keys, root).agg(F.count(F.lit(1)).alias("__n"))
+    mixed = sizes.groupBy(*keys).agg(F.max_by(root, F.struct("__n", root)).alias("main"), F.count(F.lit(1)).alias("__roots")).where("__roots > 1").drop("__roots")
+    return members.join(mixed, keys)
+
+
 def cross_pairs(members: DataFrame, keys: list[str], root: str, node: str = "node") -> DataFrame:
     """Distinct pairs (a < b) that share a bucket, but not a component (column
-    ``root``).  Only members outside the bucket's largest component are
-    paired, with all members of other components; buckets that lie in one
-    component have none, so big groups of copies that are already tied
-    together cost nothing."""
-    rows = members.select(*keys, F.col(node).alias("__node"), F.col(root).alias("__root"))
-    sizes = rows.groupBy(*keys, "__root").agg(F.count(F.lit(1)).alias("__n"))
-    mixed = sizes.groupBy(*keys).agg(F.max_by("__root", F.struct("__n", "__root")).alias("__main"), F.count(F.lit(1)).alias("__roots")).where("__roots > 1").drop("__roots")
-    rows = written(rows.join(mixed, keys), "mixed-buckets")
-    minor = rows.where("__root != __main").select(*keys, F.col("__node").alias("a"), F.col("__root").alias("__of"))
+    ``root``): members outside the bucket's largest component with all members
+    of other components."""
+    rows = written(mixed_buckets(members.select(*keys, F.col(node).alias("__node"), F.col(root).alias("__root")), keys, "__root"), "mixed-buckets")
+    minor = rows.where("__root != main").select(*keys, F.col("__node").alias("a"), F.col("__root").alias("__of"))
     pairs = minor.join(rows, keys).where("__root != __of")
     return pairs.select(F.least("a", "__node").alias("a"), F.greatest("a", "__node").alias("b")).distinct()

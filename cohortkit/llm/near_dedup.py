@@ -13,20 +13,27 @@ each dart falls on one of ``k`` coordinates; a coordinate keeps its earliest
 dart.  Documents with a coordinate that no dart hit look on to twice the rank.
 Two documents agree on a coordinate with a probability equal to their likeness.
 
-Bands of ``rows`` coordinates are joined; with 30 bands of 5, a pair at 0.8
-shares no band with probability 7e-6.  Exact copies (equal word sequences) are
-one class first, and only class representatives go on.  In a bucket, every
-document is paired with a hub (linear), pairs are verified on their shingles,
-and verified links give components; then documents that share a bucket but not
-a component are paired, verified and linked too.  So no bucket of copies is
-expanded into all pairs, yet any two different documents of a bucket either end in
-one group or have been compared.
-
-Bounds: signatures are of fixed size; shingle sets travel only for documents
-in pairs; nothing is collected.  Defined results: null texts and texts without a word
-are alone in their class, as are null ids; rows that share an id form one
-document each by their own text, but one node by id; an empty table gives no
-rows.
+Bands of ``rows`` coordinates are joined; with 40 bands of 6, a pair at 0.8
+shares no band with probability 5e-6.  Exact copies (equal word sequences) are
+one class first, and only class representatives go on.  No bucket is expanded
+into all pairs:
+
+1. every document of a bucket is paired with a central one (linear);
+2. verified links give components, and documents outside the largest component
+   of a bucket are paired with the two most alike of other components;
+3. what still shares a bucket without sharing a component is compared in full
+   inside the task, which gets the shingle sets of these few buckets: by
+   signatures first, and where those agree on 0.8 less four standard errors or
+   more, by the sets.  Only links are given out.
+
+So any two documents of a bucket end in one group, or were compared.  Every
+link is verified on the whole shingle sets.
+
+Bounds: buckets are cut into blocks of about 4 096 rows (step 3: all pairs of
+blocks); signatures are of fixed size; shingle sets travel only for documents in
+pairs; nothing is collected.  Defined results: null texts and texts without a
+word are alone in their class, as are null ids; rows that share an id are one
+node; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +45,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.llm import words as W
 from cohortkit.llm.common import written
-from cohortkit.llm.graph import components, cross_pairs, hub_pairs
+from cohortkit.llm.graph import components, mixed_buckets
 
 __all__ = ["signatures", "links", "classes", "keep_one", "shingle_units", "darts"]
 
@@ -112,7 +119,7 @@ def darts(row: np.ndarray, unit: np.ndarray, n_rows: int, k: int, t: float) -> n
     return out
 
 
-def signatures(docs: DataFrame, n: int = 5, k: int = 150, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, n: int = 5, k: int = 240, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document with a word and an id: ``node`` (its id),
     ``n_words``, ``same`` (hash of its words in order) and ``signature`` (k
     numbers as bytes)."""
@@ -151,6 +158,17 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, n: int, id_col: str, text_c
     return source.mapInArrow(units, f"node {kind}, units binary").dropDuplicates(["node"])
 
 
+def _units(x: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.uint64)
+
+
+def _likeness(x: np.ndarray, y: np.ndarray) -> float:
+    """Weighted Jaccard: units of weight in both over units in either."""
+    both = np.sort(np.concatenate([x, y]))
+    both = int((both[1:] == both[:-1]).sum())
+    return both / (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose likeness reaches the threshold: (a, b, likeness)."""
     wide = pairs.join(sets.select(F.col("node").alias("a"), F.col("units").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("units").alias("right")), "b")
@@ -160,16 +178,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             alike = np.empty(batch.num_rows)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                alike[i] = both / (len(x) + len(y) - both)
+                alike[i] = _likeness(_units(x), _units(y))
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(alike)], ["a", "b", "likeness"])
             yield out.filter(pa.array(alike >= threshold))
 
     return wide.select("a", "b", "left", "right").mapInArrow(compare, f"a {kind}, b {kind}, likeness double")
 
 
-def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 5, bands: int = 30, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 6, bands: int = 40, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Verified links between class representatives (a, b, likeness), and the
     membership (``node``, ``rep``: least id with the same words)."""
     signed = written(signatures(docs, n, rows * bands, id_col, text_col), "signatures")
@@ -181,26 +197,141 @@ def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 5, ba
 
     def cut(batches):
         for batch in batches:
-            marks = np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), np.uint32).reshape(batch.num_rows, bands, rows).astype(np.uint64)
-            acc = np.zeros((batch.num_rows, bands), np.uint64)
-            for i in range(rows):
-                acc = W.mix(acc * np.uint64(0x9E3779B97F4A7C15) + marks[:, :, i] + np.uint64(1))
-            acc += np.arange(bands, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
-            band = W.mix(acc)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), bands))), pa.array(band.ravel().view(np.int64))], ["node", "bucket"])
+            band = _band_hashes(np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), np.uint32).reshape(batch.num_rows, -1), bands)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), bands))), pa.array(band.ravel())], ["node", "bucket"])
 
     kind = signed.schema["node"].dataType.simpleString()
-    buckets = reps.select("node", "signature").mapInArrow(cut, f"node {kind}, bucket long")
-    buckets = written(buckets, "buckets")
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    reps = written(reps.select("node", "signature"), "reps")
+    buckets = written(reps.mapInArrow(cut, f"node {kind}, bucket long"), "buckets")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = written(buckets.join(shared, "bucket"), "shared-buckets")
-    sets = written(_shingle_sets(docs, buckets.select("node").distinct(), n, id_col, text_col), "shingle-sets")
-    first = written(_verified(hub_pairs(buckets, ["bucket"]), sets, threshold), "hub-links")
-    root = components(first)
-    rooted = buckets.join(root, "node", "left")
-    rest = cross_pairs(rooted.select("bucket", "node", F.coalesce("root", "node").alias("r")), ["bucket"], "r")
-    second = written(_verified(rest, sets, threshold), "cross-links")
-    return first.unionByName(second), member
+    cutoff = threshold - 4 * (threshold * (1 - threshold) / (rows * bands)) ** 0.5
+    first = _bucket_pairs(buckets.withColumns({"root": F.col("node"), "minor": F.lit(False)}), reps, "hub", bands, cutoff)
+    found = _checked(docs, first.select("a", "b"), n, threshold, id_col, text_col, "hub")
+    for how in ("best", "rest"):
+        root = components(found)
+        rooted = buckets.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = written(mixed_buckets(rooted, ["bucket"], "root").withColumn("minor", F.col("root") != F.col("main")), f"mixed-{how}")
+        if how == "best":
+            more = _checked(docs, _bucket_pairs(mixed, reps, how, bands, cutoff).select("a", "b"), n, threshold, id_col, text_col, how)
+        else:
+            sets = _shingle_sets(docs, mixed.select("node").distinct(), n, id_col, text_col)
+            more = written(_bucket_pairs(mixed, reps.join(sets, "node"), how, bands, cutoff, threshold).distinct(), "rest-links")
+        found = found.unionByName(more)
+    return found, member
+
+
+def _band_hashes(marks: np.ndarray, bands: int) -> np.ndarray:
+    """One number by document and band; equal only for the same band."""
+    marks = marks.reshape(len(marks), bands, -1).astype(np.uint64)
+    acc = np.zeros(marks.shape[:2], np.uint64)
+    for i in range(marks.shape[2]):
+        acc = W.mix(acc * np.uint64(0x9E3779B97F4A7C15) + marks[:, :, i] + np.uint64(1))
+    return W.mix(acc + np.arange(bands, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)).view(np.int64)
+
+
+#: Rows of a bucket that are compared as one block.
+_BLOCK = 4096
+
+
+def _bucket_pairs(rows: DataFrame, reps: DataFrame, how: str, bands: int, cutoff: float, threshold: float | None = None) -> DataFrame:
+    """Pairs (a < b) of ``rows`` (bucket, size, node, root, minor) by one of the
+    three steps; with a threshold, those whose likeness reaches it.  ``role``: 0 plays both sides, 1 the minor, 2 the other one."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / _BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", own)
+    if how == "rest":
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        as_minor = F.when(F.col("minor"), F.transform(every, lambda j: F.struct(F.col("own").alias("i"), j.alias("j"), F.lit(1).alias("role")))).otherwise(F.array())
+        as_other = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(2).alias("role")))
+        both = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("role")))
+        rows = rows.withColumn("at", F.explode(F.when(F.col("blocks") == 1, both).otherwise(F.concat(as_minor, as_other))))
+    else:
+        rows = rows.withColumn("at", F.struct(F.col("own").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("role")))
+    kind = rows.schema["node"].dataType.simpleString()
+    rows = rows.select("bucket", "at.i", "at.j", "at.role", "node", "root", "minor").join(reps, "node")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+    rows = rows.select("node", "root", "minor", "role", "bucket", F.xxhash64("bucket", "i", "j").alias("run"), "signature", *(["units"] if threshold else []))
+
+    def pair(batches):
+        for batch in _whole_runs(batches):
+            run = batch.column(5).to_numpy()
+            marks = np.frombuffer(b"".join(x.as_py() for x in batch.column(6)), np.uint32).reshape(batch.num_rows, -1)
+            root, bucket = batch.column(1).dictionary_encode().indices.to_numpy(), batch.column(4).to_numpy()
+            minor, role = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy()
+            edges = np.r_[0, np.flatnonzero(run[1:] != run[:-1]) + 1, len(run)]
+            left, right, alike = [], [], []
+            for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                for p, q in _run_pairs(how, marks[x:y], root[x:y], minor[x:y], role[x:y], int(bucket[x]), bands, cutoff):
+                    likeness = np.full(len(q), np.nan)
+                    if threshold:
+                        mine = _units(batch.column(7)[x + p])
+                        likeness = np.array([_likeness(mine, _units(batch.column(7)[x + int(o)])) for o in q])
+                        q, likeness = q[likeness >= threshold], likeness[likeness >= threshold]
+                    left.append(np.full(len(q), x + p))
+                    right.append(x + q)
+                    alike.append(likeness)
+            if left:
+                left, right = pa.array(np.concatenate(left)), pa.array(np.concatenate(right))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(left), batch.column(0).take(right), pa.array(np.concatenate(alike))], ["p", "q", "likeness"])
+
+    pairs = rows.mapInArrow(pair, f"p {kind}, q {kind}, likeness double")
+    return pairs.where("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "likeness")
+
+
+def _whole_runs(batches):
+    """Batches whose runs (column 5) are whole."""
+    held = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        run = batch.column(5).to_numpy()
+        last = int(np.flatnonzero(np.r_[True, run[1:] != run[:-1]])[-1])
+        if last:
+            yield batch.slice(0, last)
+        held = batch.slice(last)
+    if held is not None:
+        yield held
+
+
+def _run_pairs(how: str, marks: np.ndarray, root: np.ndarray, minor: np.ndarray, role: np.ndarray, bucket: int, bands: int, cutoff: float):
+    """(position, positions it is paired with) in one block."""
+    n = len(marks)
+    if how == "hub":
+        some = np.arange(n) if n <= 16 else np.linspace(0, n - 1, 16).astype(int)
+        agree = np.zeros(n)
+        for m in some:
+            agree += (marks == marks[m]).mean(axis=1)
+        hub = int(agree.argmax())
+        alike = (marks == marks[hub]).mean(axis=1) >= cutoff
+        alike[hub] = False
+        if alike.any():
+            yield hub, np.flatnonzero(alike)
+        return
+    band = _band_hashes(marks, bands) if how == "rest" else None
+    for p in np.flatnonzero(minor & (role != 2)):
+        other = np.flatnonzero((root != root[p]) & (role != 1))
+        if how == "rest":  # a pair counts in the first band it shares, and once if both are minor
+            other = other[~minor[other] | (other > p) | (role[other] != 0)]
+            same = band[other] == band[p]
+            other = other[(same.argmax(axis=1) < bands) & (band[p][same.argmax(axis=1)] == bucket)]
+        alike = (marks[other] == marks[p]).mean(axis=1)
+        on = alike >= cutoff
+        other, alike = other[on], alike[on]
+        if how == "best" and len(other) > 2:
+            other = other[np.argsort(-alike, kind="stable")[:2]]
+        if len(other):
+            yield int(p), other
+
+
+def _checked(docs: DataFrame, pairs: DataFrame, n: int, threshold: float, id_col: str, text_col: str, name: str) -> DataFrame:
+    """The pairs that reach the threshold on their whole shingle sets."""
+    pairs = written(pairs.distinct(), f"{name}-candidates")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = written(_shingle_sets(docs, nodes, n, id_col, text_col), f"{name}-sets")
+    return written(_verified(pairs, sets, threshold), f"{name}-links")
 
 
 def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
