@@ -7,12 +7,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import decontaminate, mixing, near_dedup, quality, sharding
+from cohortkit.llm import decontaminate, fingerprint, line_dedup, mixing, near_dedup, quality, sharding, suffix_tree, token_shards
 from cohortkit.llm.common import table
 
 #: Bytes of a shard.
 SHARD_BYTES = 64 << 20
 
+#: Public byte-level BPE ranks.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 #: What counts as a good document for the classifier.
 GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
 
@@ -32,15 +35,40 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), GOOD, columns=["doc_id", "source", "lang"])
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) == 0
+    tree, counts = suffix_tree.train(docs.where(~F.coalesce(held_out, F.lit(False))))
+    return suffix_tree.score(docs, tree, counts).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
+    kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), kept.cast("int")), F.col("next_head"))
+    rows = rows.select("id", "n_chars", F.sha2(edited, 256).alias("edited_sha256"), fingerprint.sketch(F.col("text")).alias("own"), fingerprint.sketch(edited).alias("other"), "next_sketch")
+    return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint.as_text(F.col("own")).alias("fingerprint"), fingerprint.as_text(F.col("other")).alias("edited_fingerprint"),
+                       fingerprint.likeness(F.col("own"), F.col("other")).alias("near_edited"), fingerprint.likeness(F.col("own"), F.col("next_sketch")).alias("near_next"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.marks(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_mixing": op2_mixing, "op4_quality": op4_quality, "op7_near_dedup": op7_near_dedup, "op10_sharding": op10_sharding}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_mixing": op2_mixing, "op4_quality": op4_quality, "op5_suffix_tree": op5_suffix_tree, "op6_token_shards": op6_token_shards,
+           "op7_near_dedup": op7_near_dedup, "op8_fingerprint": op8_fingerprint, "op9_line_dedup": op9_line_dedup, "op10_sharding": op10_sharding}
 
 SQL = {
     "op1_decontaminate": r"""
