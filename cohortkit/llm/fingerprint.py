@@ -56,8 +56,8 @@ def _closed(h: Column, k: int, s: int) -> Column:
 def sketch(text: Column, keep: int = KEEP) -> Column:
     """The ``keep`` least distinct anchor hashes, in text order."""
     def least(hashes: Column) -> Column:
-        last = F.element_at(F.slice(F.array_sort(hashes), 1, keep), -1)
-        return F.filter(hashes, lambda x: x <= last)
+        last = F.element_at(F.slice(F.sort_array(hashes), 1, keep), -1)
+        return F.transform(F.array(last), lambda last: F.filter(hashes, lambda x: x <= last))[0]  # sorts once
 
     hashes = F.array_distinct(F.transform(anchors(text), lambda a: a["hash"]))
     return F.transform(F.array(hashes), lambda x: F.when(F.size(x) <= keep, x).otherwise(least(x)))[0]
@@ -69,7 +69,7 @@ def as_text(hashes: Column) -> Column:
 
 def likeness(a: Column, b: Column, keep: int = KEEP) -> Column:
     """Likeness (0 to 1) of two sketches."""
-    either = F.slice(F.array_sort(F.array_union(a, b)), 1, keep)
+    either = F.slice(F.sort_array(F.array_union(a, b)), 1, keep)
     shared = F.size(F.array_intersect(F.array_intersect(a, b), either))
     return F.when(F.size(either) == 0, 1.0).otherwise(shared / F.size(either))
 
