@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import decontaminate, fingerprint, line_dedup, mixing, near_dedup, quality, sharding, suffix_tree, token_shards
+from cohortkit.llm import decontaminate, fingerprint, license_scan, line_dedup, mixing, near_dedup, quality, sharding, suffix_tree, token_shards
 from cohortkit.llm.common import table
 
 #: Bytes of a shard.
@@ -30,6 +30,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allocate(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id``."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", "source", "lang", "doc_id"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that are kept."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), GOOD, columns=["doc_id", "source", "lang"])
@@ -54,9 +59,9 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprint.with_next(table(spark, sf_dir, "documents"))
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 2)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), kept.cast("int")), F.col("next_head"))
-    rows = rows.select("id", "n_chars", F.sha2(edited, 256).alias("edited_sha256"), fingerprint.sketch(F.col("text")).alias("own"), fingerprint.sketch(edited).alias("other"), "next_sketch")
+    rows = rows.select("id", "n_chars", F.sha2(edited, 256).alias("edited_sha256"), fingerprint.sketch(F.col("text")).alias("own"), fingerprint.sketch(edited).alias("other"), "next_sketch", "next_id")
     return rows.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", fingerprint.as_text(F.col("own")).alias("fingerprint"), fingerprint.as_text(F.col("other")).alias("edited_fingerprint"),
-                       fingerprint.likeness(F.col("own"), F.col("other")).alias("near_edited"), fingerprint.likeness(F.col("own"), F.col("next_sketch")).alias("near_next"))
+                       fingerprint.likeness(F.col("own"), F.col("other")).alias("near_edited"), fingerprint.likeness(F.col("own"), F.col("next_sketch")).alias("near_next"), F.col("next_id").alias("next_doc_id"))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_mixing": op2_mixing, "op4_quality": op4_quality, "op5_suffix_tree": op5_suffix_tree, "op6_token_shards": op6_token_shards,
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_mixing": op2_mixing, "op3_license_scan": op3_license_scan, "op4_quality": op4_quality, "op5_suffix_tree": op5_suffix_tree, "op6_token_shards": op6_token_shards,
            "op7_near_dedup": op7_near_dedup, "op8_fingerprint": op8_fingerprint, "op9_line_dedup": op9_line_dedup, "op10_sharding": op10_sharding}
 
 SQL = {
