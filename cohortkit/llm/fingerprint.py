@@ -77,7 +77,7 @@ def likeness(a: Column, b: Column, keep: int = KEEP) -> Column:
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: ``id``, ``text`` (null: empty), ``n_chars``, and
     of the next document by descending id (after the last: the first)
-    ``next_head``, its first floor(n_chars / 2) code points, and
+    ``next_id``, ``next_head``, its first floor(n_chars / 2) code points, and
     ``next_sketch``.  Null ids come last; rows of one id follow by a hash of the text;
     rows equal in id and text have the same next document: the next that differs
     (a lone document is its own).
@@ -91,10 +91,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     n = ranked.count()
     before = ranked.select(F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place"), F.col("key").alias("to_key"), F.col("hash").alias("to_hash"), F.floor(F.col("n_chars") / 2).cast("int").alias("need"))
     chain = written(ranked.select("place", "key", "hash", "rows").join(before, "place").drop("place"), "chain")
-    sent = ["to_key", "to_hash", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("next_head"), sketch(F.col("text")).alias("next_sketch")]
+    # the next id goes along, so that both readings of the texts share one shuffle
+    sent = ["to_key", "to_hash", F.col("id").alias("next_id"), F.substring(F.col("text"), F.lit(1), F.col("need")).alias("next_head"), sketch(F.col("text")).alias("next_sketch")]
     heads = rows.join(chain.where("rows = 1"), ["key", "hash"]).select(*sent)
     alike = chain.where("rows > 1")
     if alike.limit(1).count():
         heads = heads.unionByName(rows.join(alike, ["key", "hash"]).dropDuplicates(["key", "hash"]).select(*sent))
     got = rows.join(heads, (F.col("key") == F.col("to_key")) & (F.col("hash") == F.col("to_hash")))
-    return got.select("id", "text", F.length("text").cast("long").alias("n_chars"), "next_head", "next_sketch")
+    return got.select("id", "text", F.length("text").cast("long").alias("n_chars"), "next_id", "next_head", "next_sketch")
