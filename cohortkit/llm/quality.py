@@ -117,11 +117,11 @@ def _label_table(labels: DataFrame, id_col: str, target: Column, max_labels: int
     return rows["id"].to_numpy(np.int64), rows["good"].to_numpy(bool)
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
+def fit(docs: DataFrame, labels: DataFrame, target: Column | str, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
         smooth: float = 1.0, dead: float = 0.4) -> tuple[Ratios, float, int]:
     """The ratios, the labelled share of targets, and the number of labels.
     ``target``: condition on the columns of ``labels``."""
-    ids, good = _label_table(labels, id_col, target, max_labels)
+    ids, good = _label_table(labels, id_col, F.expr(target) if isinstance(target, str) else target, max_labels)
     sent = docs.sparkSession.sparkContext.broadcast(ids[good])
     n_buckets = int(_FIRST[-1])
 
@@ -189,7 +189,7 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", keep: int | None = None,
+def resample(docs: DataFrame, labels: DataFrame, target: Column | str, id_col: str = "doc_id", text_col: str = "text", keep: int | None = None,
              z: float = 2.0, seed: int = 17, max_labels: int = MAX_LABELS, columns: list[str] | None = None) -> DataFrame:
     """The kept documents: ``columns`` of ``docs`` (default: all) and a last
     column ``log_weight`` (unless one of them has that name).  ``keep``: how

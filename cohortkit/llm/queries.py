@@ -17,7 +17,7 @@ SHARD_BYTES = 64 << 20
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: What counts as a good document for the classifier.
-GOOD = (F.col("quality") == 1) & (F.col("toxic") == 0)
+GOOD = "quality = 1 and toxic = 0"
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
