@@ -2,13 +2,6 @@
 
 
 def load_all():
-    from checks import registry
-    from checks import q_prep  # noqa: F401
+    from checks import q_ensemble, q_eval, q_ml, q_ops, q_prep, registry  # noqa: F401
 
-    for mod in ("q_ops", "q_profile", "q_ensemble", "q_eval", "q_ml"):
-        try:
-            __import__(f"checks.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"checks.{mod}":
-                raise
     return registry
