@@ -22,9 +22,9 @@ into all pairs:
 2. verified links give components, and documents outside the largest component
    of a bucket are paired with the two most alike of other components;
 3. what still shares a bucket without sharing a component is compared in full
-   inside the task, which gets the shingle sets of these few buckets: by
-   signatures first, and where those agree on 0.8 less four standard errors or
-   more, by the sets.  Only links are given out.
+   inside the task: by signatures first (low bytes, which agree at least as
+   often), and where those agree on 0.8 less four standard errors or more, by
+   the sets, which are sent for such documents only.  Only links are given out.
 
 So any two documents of a bucket end in one group, or were compared.  Every
 link is verified on the whole shingle sets.
@@ -119,11 +119,13 @@ def darts(row: np.ndarray, unit: np.ndarray, n_rows: int, k: int, t: float) -> n
     return out
 
 
-def signatures(docs: DataFrame, n: int = 5, k: int = 240, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, n: int = 5, k: int = 240, id_col: str = "doc_id", text_col: str = "text", bands: int | None = None) -> DataFrame:
     """One row for each document with a word and an id: ``node`` (its id),
     ``n_words``, ``same`` (hash of its words in order) and ``signature`` (k
-    numbers as bytes)."""
+    numbers as bytes).  With ``bands``, in its place ``bands`` (a hash of each
+    band) and ``brief`` (the low byte of each number)."""
     t = k * (np.log(k) + 3.0)
+    names = ["signature"] if bands is None else ["bands", "brief"]
     source = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text")).where("node is not null and text is not null")
 
     def sign(batches):
@@ -133,11 +135,12 @@ def signatures(docs: DataFrame, n: int = 5, k: int = 240, id_col: str = "doc_id"
                 row, unit, n_words, same = shingle_units(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
                 marks = darts(row, unit, j - i, k, t)
                 keep = pa.array(n_words > 0)
+                out = [marks] if bands is None else [_band_hashes(marks, bands), (marks & 0xFF).astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n_words), pa.array(same.view(np.int64)),
-                                                  pa.array([m.tobytes() for m in marks], pa.binary())], ["node", "n_words", "same", "signature"]).filter(keep)
+                                                  *[pa.array([m.tobytes() for m in x], pa.binary()) for x in out]], ["node", "n_words", "same", *names]).filter(keep)
 
     kind = source.schema["node"].dataType.simpleString()
-    return source.mapInArrow(sign, f"node {kind}, n_words long, same long, signature binary")
+    return source.mapInArrow(sign, f"node {kind}, n_words long, same long, " + ", ".join(f"{name} binary" for name in names))
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
@@ -188,35 +191,40 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def links(docs: DataFrame, n: int = 5, threshold: float = 0.8, rows: int = 6, bands: int = 40, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Verified links between class representatives (a, b, likeness), and the
     membership (``node``, ``rep``: least id with the same words)."""
-    signed = written(signatures(docs, n, rows * bands, id_col, text_col), "signatures")
-    least = signed.groupBy("same", "n_words").agg(F.min("node").alias("rep"))
-    copies = signed.groupBy("same", "n_words").agg(F.count(F.lit(1)).alias("count")).where("count > 1").drop("count")
-    crowd = signed.select("node", "same", "n_words").join(copies, ["same", "n_words"])
-    member = written(crowd.join(least, ["same", "n_words"]).select("node", "rep").distinct(), "copies")
-    reps = least.select(F.col("rep").alias("node"), "same", "n_words").join(signed.select("node", "same", "n_words", "signature"), ["node", "same", "n_words"]).dropDuplicates(["node"])
+    signed = signatures(docs, n, rows * bands, id_col, text_col, bands).withColumn("row", F.monotonically_increasing_id())
+    signed = written(signed, "signatures")
+    least = signed.groupBy("same", "n_words").agg(F.min(F.struct("node", "row")).alias("least"), F.count(F.lit(1)).alias("count"))
+    least = written(least.select("same", "n_words", F.col("least.node").alias("rep"), F.col("least.row").alias("row"), "count"), "least")
+    crowd = least.where("count > 1").select("same", "n_words", "rep")
+    member = written(signed.select("node", "same", "n_words").join(crowd, ["same", "n_words"]).select("node", "rep").distinct(), "copies")
+    chosen = least.groupBy("rep").agg(F.min("row").alias("row")).select("row")
+    reps = written(signed.join(chosen, "row", "left_semi").select("node", "bands", "brief"), "reps")
 
     def cut(batches):
         for batch in batches:
-            band = _band_hashes(np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), np.uint32).reshape(batch.num_rows, -1), bands)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), bands))), pa.array(band.ravel())], ["node", "bucket"])
+            band = np.frombuffer(b"".join(x.as_py() for x in batch.column(1)), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(batch.num_rows), bands))), pa.array(band)], ["node", "bucket"])
 
     kind = signed.schema["node"].dataType.simpleString()
-    reps = written(reps.select("node", "signature"), "reps")
-    buckets = written(reps.mapInArrow(cut, f"node {kind}, bucket long"), "buckets")
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # one shuffle by bucket: the count and the join read the same exchange, with the same columns
+    buckets = reps.select("node", "bands").mapInArrow(cut, f"node {kind}, bucket long").repartition("bucket")
+    shared = buckets.groupBy("bucket").agg(F.count("node").alias("size")).where("size > 1")
     buckets = written(buckets.join(shared, "bucket"), "shared-buckets")
     cutoff = threshold - 4 * (threshold * (1 - threshold) / (rows * bands)) ** 0.5
-    first = _bucket_pairs(buckets.withColumns({"root": F.col("node"), "minor": F.lit(False)}), reps, "hub", bands, cutoff)
+    first = _bucket_pairs(buckets.withColumns({"root": F.col("node"), "minor": F.lit(False)}), reps, "hub", cutoff)
     found = _checked(docs, first.select("a", "b"), n, threshold, id_col, text_col, "hub")
     for how in ("best", "rest"):
         root = components(found)
         rooted = buckets.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = written(mixed_buckets(rooted, ["bucket"], "root").withColumn("minor", F.col("root") != F.col("main")), f"mixed-{how}")
         if how == "best":
-            more = _checked(docs, _bucket_pairs(mixed, reps, how, bands, cutoff).select("a", "b"), n, threshold, id_col, text_col, how)
+            more = _checked(docs, _bucket_pairs(mixed, reps, how, cutoff).select("a", "b"), n, threshold, id_col, text_col, how)
         else:
-            sets = _shingle_sets(docs, mixed.select("node").distinct(), n, id_col, text_col)
-            more = written(_bucket_pairs(mixed, reps.join(sets, "node"), how, bands, cutoff, threshold).distinct(), "rest-links")
+            # only documents with an open partner that is alike by signature need their sets sent
+            some = written(_bucket_pairs(mixed, reps, "seek", cutoff).select(F.col("p").alias("node")).distinct(), "open")
+            mixed = mixed.join(some, "node", "left_semi")
+            sets = _shingle_sets(docs, some, n, id_col, text_col)
+            more = written(_bucket_pairs(mixed, reps.join(sets, "node"), how, cutoff, threshold).distinct(), "rest-links")
         found = found.unionByName(more)
     return found, member
 
@@ -234,13 +242,13 @@ def _band_hashes(marks: np.ndarray, bands: int) -> np.ndarray:
 _BLOCK = 4096
 
 
-def _bucket_pairs(rows: DataFrame, reps: DataFrame, how: str, bands: int, cutoff: float, threshold: float | None = None) -> DataFrame:
+def _bucket_pairs(rows: DataFrame, reps: DataFrame, how: str, cutoff: float, threshold: float | None = None) -> DataFrame:
     """Pairs (a < b) of ``rows`` (bucket, size, node, root, minor) by one of the
     three steps; with a threshold, those whose likeness reaches it.  ``role``: 0 plays both sides, 1 the minor, 2 the other one."""
     blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / _BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("own", own)
-    if how == "rest":
+    if how in ("seek", "rest"):
         every = F.sequence(F.lit(0), F.col("blocks") - 1)
         as_minor = F.when(F.col("minor"), F.transform(every, lambda j: F.struct(F.col("own").alias("i"), j.alias("j"), F.lit(1).alias("role")))).otherwise(F.array())
         as_other = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("own").alias("j"), F.lit(2).alias("role")))
@@ -249,20 +257,21 @@ def _bucket_pairs(rows: DataFrame, reps: DataFrame, how: str, bands: int, cutoff
     else:
         rows = rows.withColumn("at", F.struct(F.col("own").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("role")))
     kind = rows.schema["node"].dataType.simpleString()
-    rows = rows.select("bucket", "at.i", "at.j", "at.role", "node", "root", "minor").join(reps, "node")
+    rows = rows.select("bucket", "at.i", "at.j", "at.role", "node", "root", "minor").join(reps if threshold else reps.select("node", "brief"), "node")
     rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    rows = rows.select("node", "root", "minor", "role", "bucket", F.xxhash64("bucket", "i", "j").alias("run"), "signature", *(["units"] if threshold else []))
+    rows = rows.select("node", "root", "minor", "role", "bucket", F.xxhash64("bucket", "i", "j").alias("run"), "brief", *(["units", "bands"] if threshold else []))
 
     def pair(batches):
         for batch in _whole_runs(batches):
             run = batch.column(5).to_numpy()
-            marks = np.frombuffer(b"".join(x.as_py() for x in batch.column(6)), np.uint32).reshape(batch.num_rows, -1)
+            marks = np.frombuffer(b"".join(x.as_py() for x in batch.column(6)), np.uint8).reshape(batch.num_rows, -1)
+            band = np.frombuffer(b"".join(x.as_py() for x in batch.column(8)), np.int64).reshape(batch.num_rows, -1) if threshold else None
             root, bucket = batch.column(1).dictionary_encode().indices.to_numpy(), batch.column(4).to_numpy()
             minor, role = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy()
             edges = np.r_[0, np.flatnonzero(run[1:] != run[:-1]) + 1, len(run)]
             left, right, alike = [], [], []
             for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                for p, q in _run_pairs(how, marks[x:y], root[x:y], minor[x:y], role[x:y], int(bucket[x]), bands, cutoff):
+                for p, q in _run_pairs(how, marks[x:y], root[x:y], minor[x:y], role[x:y], int(bucket[x]), None if band is None else band[x:y], cutoff):
                     likeness = np.full(len(q), np.nan)
                     if threshold:
                         mine = _units(batch.column(7)[x + p])
@@ -276,7 +285,7 @@ def _bucket_pairs(rows: DataFrame, reps: DataFrame, how: str, bands: int, cutoff
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(left), batch.column(0).take(right), pa.array(np.concatenate(alike))], ["p", "q", "likeness"])
 
     pairs = rows.mapInArrow(pair, f"p {kind}, q {kind}, likeness double")
-    return pairs.where("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "likeness")
+    return pairs if how == "seek" else pairs.where("p != q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "likeness")
 
 
 def _whole_runs(batches):
@@ -296,7 +305,7 @@ def _whole_runs(batches):
         yield held
 
 
-def _run_pairs(how: str, marks: np.ndarray, root: np.ndarray, minor: np.ndarray, role: np.ndarray, bucket: int, bands: int, cutoff: float):
+def _run_pairs(how: str, marks: np.ndarray, root: np.ndarray, minor: np.ndarray, role: np.ndarray, bucket: int, band: np.ndarray | None, cutoff: float):
     """(position, positions it is paired with) in one block."""
     n = len(marks)
     if how == "hub":
@@ -310,20 +319,25 @@ def _run_pairs(how: str, marks: np.ndarray, root: np.ndarray, minor: np.ndarray,
         if alike.any():
             yield hub, np.flatnonzero(alike)
         return
-    band = _band_hashes(marks, bands) if how == "rest" else None
+    seen = np.zeros(n, dtype=bool)
     for p in np.flatnonzero(minor & (role != 2)):
         other = np.flatnonzero((root != root[p]) & (role != 1))
         if how == "rest":  # a pair counts in the first band it shares, and once if both are minor
             other = other[~minor[other] | (other > p) | (role[other] != 0)]
             same = band[other] == band[p]
-            other = other[(same.argmax(axis=1) < bands) & (band[p][same.argmax(axis=1)] == bucket)]
+            other = other[(same.any(axis=1)) & (band[p][same.argmax(axis=1)] == bucket)]
         alike = (marks[other] == marks[p]).mean(axis=1)
         on = alike >= cutoff
         other, alike = other[on], alike[on]
         if how == "best" and len(other) > 2:
             other = other[np.argsort(-alike, kind="stable")[:2]]
-        if len(other):
+        if how == "seek":
+            seen[other] = True
+            seen[p] |= len(other) > 0
+        elif len(other):
             yield int(p), other
+    for p in np.flatnonzero(seen):
+        yield int(p), np.array([p])
 
 
 def _checked(docs: DataFrame, pairs: DataFrame, n: int, threshold: float, id_col: str, text_col: str, name: str) -> DataFrame:
