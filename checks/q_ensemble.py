@@ -39,7 +39,7 @@ grp AS (SELECT coalesce(HomeDestination, 'Unknown') AS grp, p, y FROM oof)"""
 
 
 def _cal_frames(spark, sf):
-    d = P.decompose(manifest(spark, sf)).select(
+    d = P.decompose(manifest(spark, sf, spend=False)).select(
         "PassengerId", F.concat("CabinDeck", F.lit("_"), "CabinSide").alias("DeckSide"), "CabinDeck", "Destination",
         F.concat("HomePlanet", F.lit("_"), "Destination").alias("HomeDestination"))
     s = scores(spark, sf).join(d, "PassengerId").withColumn("y", F.col("Transported").cast("int"))

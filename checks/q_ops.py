@@ -36,6 +36,15 @@ def _train(spark, sf):
     return manifest(spark, sf).where(F.col("is_train"))
 
 
+def _slim(spark, sf):
+    """The manifest for plans without a spend column: lineitem isn't read."""
+    return manifest(spark, sf, spend=False)
+
+
+def _slim_train(spark, sf):
+    return _slim(spark, sf).where(F.col("is_train"))
+
+
 def _d0(spark, sf):
     return P.decompose(manifest(spark, sf))
 
@@ -74,7 +83,7 @@ def q_snk_table(spark, sf):
 # ---- 2.2 projections and scalar operators ------------------------------------------------------
 @register("prj_select", with_views("SELECT PassengerId AS id, Transported AS label, Age, HomePlanet FROM manifest"))
 def q_prj_select(spark, sf):
-    df = _m(spark, sf).drop("Name").withColumnRenamed("PassengerId", "id").withColumnRenamed("Transported", "label")
+    df = _slim(spark, sf).drop("Name").withColumnRenamed("PassengerId", "id").withColumnRenamed("Transported", "label")
     return df.select("id", "label", "Age", "HomePlanet")
 
 
@@ -95,7 +104,7 @@ def q_num_coerce(spark, sf):
     "coalesce(CASE WHEN VIP THEN 'True' WHEN NOT VIP THEN 'False' END, 'Unknown') AS VIP, coalesce(HomePlanet, 'Unknown') AS HomePlanet, "
     "CAST(CAST(Age AS INTEGER) AS VARCHAR) AS AgeText FROM manifest"))
 def q_prj_cast(spark, sf):
-    df = FE.stringify(_m(spark, sf), ["CryoSleep", "VIP", "HomePlanet"])
+    df = FE.stringify(_slim(spark, sf), ["CryoSleep", "VIP", "HomePlanet"])
     return df.select("PassengerId", "CryoSleep", "VIP", "HomePlanet", F.col("Age").cast("int").cast("string").alias("AgeText"))
 
 
@@ -117,13 +126,13 @@ def q_prj_map_lookup(spark, sf):
 @register("prj_cond_update", with_views(
     "SELECT PassengerId, CASE WHEN coalesce(Age < 18, false) THEN false ELSE VIP END AS VIP FROM manifest"))
 def q_prj_cond_update(spark, sf):
-    return IM.update_where(_m(spark, sf), "VIP", F.col("Age") < 18, False).select("PassengerId", "VIP")
+    return IM.update_where(_slim(spark, sf), "VIP", F.col("Age") < 18, False).select("PassengerId", "VIP")
 
 
 @register("prd_null_flags", with_views(
     "SELECT PassengerId, CAST(Age IS NULL AS INTEGER) AS AgeMissing, CAST(Cabin IS NULL AS INTEGER) AS CabinMissing FROM manifest"))
 def q_prd_null_flags(spark, sf):
-    return FE.null_flags(_m(spark, sf), {"Age": "AgeMissing", "Cabin": "CabinMissing"}).select("PassengerId", "AgeMissing", "CabinMissing")
+    return FE.null_flags(_slim(spark, sf), {"Age": "AgeMissing", "Cabin": "CabinMissing"}).select("PassengerId", "AgeMissing", "CabinMissing")
 
 
 @register("prd_filter", with_views(
@@ -218,13 +227,13 @@ def q_lin_combine(spark, sf):
     "ORDER BY count(*) DESC, HomePlanet) AS rn FROM manifest WHERE HomePlanet IS NOT NULL GROUP BY Destination, HomePlanet) WHERE rn = 1 "
     "UNION ALL SELECT Destination, NULL FROM manifest GROUP BY Destination HAVING count(HomePlanet) = 0"))
 def q_agg_mode(spark, sf):
-    return IM.mode_stats(_m(spark, sf), "HomePlanet", ["Destination"])
+    return IM.mode_stats(_slim(spark, sf), "HomePlanet", ["Destination"])
 
 
 @register("agg_median", with_views(
     "SELECT HomePlanet, median(Age) AS median FROM manifest GROUP BY HomePlanet UNION ALL SELECT 'ALL', median(Age) FROM manifest"))
 def q_agg_median(spark, sf):
-    m = _m(spark, sf)
+    m = _slim(spark, sf)
     return IM.median_stats(m, "Age", ["HomePlanet"]).unionByName(
         IM.median_stats(m, "Age", []).select(F.lit("ALL").alias("HomePlanet"), "median"))
 
@@ -233,7 +242,7 @@ def q_agg_median(spark, sf):
     "SELECT Destination, count(*) AS count, count(*) / sum(count(*)) OVER () AS share FROM manifest "
     "WHERE Destination IS NOT NULL GROUP BY Destination"))
 def q_agg_value_counts(spark, sf):
-    return PR.value_counts(_m(spark, sf), "Destination", normalize=True)
+    return PR.value_counts(_slim(spark, sf), "Destination", normalize=True)
 
 
 @register("agg_group", with_views(
@@ -368,13 +377,13 @@ FROM {TRAIN} t JOIN (SELECT Transported, min(Age) AS mn, max(Age) AS mx, count(*
 CROSS JOIN range(0, 64) r(g)
 WHERE Age IS NOT NULL GROUP BY s.Transported, g, mn, mx, n, h"""))
 def q_prof_kde(spark, sf):
-    return float32(PR.kde(_train(spark, sf), "Age", "Transported", grid=64), ["x", "density"])
+    return float32(PR.kde(_slim_train(spark, sf), "Age", "Transported", grid=64), ["x", "density"])
 
 
 @register("agg_crosstab", with_views(
     f"SELECT coalesce(HomePlanet, 'Missing') AS \"row\", CAST(Transported AS VARCHAR) AS col, count(*) AS n FROM {TRAIN} GROUP BY 1, 2"))
 def q_agg_crosstab(spark, sf):
-    return ST.crosstab(_train(spark, sf), "HomePlanet", "Transported")
+    return ST.crosstab(_slim_train(spark, sf), "HomePlanet", "Transported")
 
 
 @register("agg_crosstab_norm", with_views(
@@ -382,7 +391,7 @@ def q_agg_crosstab(spark, sf):
     f"CAST(count(*) / sum(count(*)) OVER (PARTITION BY coalesce(CAST(CryoSleep AS VARCHAR), 'Missing')) AS FLOAT) AS share "
     f"FROM {TRAIN} GROUP BY 1, 2"))
 def q_agg_crosstab_norm(spark, sf):
-    return float32(ST.crosstab(_train(spark, sf), "CryoSleep", "Transported", normalize=True), ["share"])
+    return float32(ST.crosstab(_slim_train(spark, sf), "CryoSleep", "Transported", normalize=True), ["share"])
 
 
 CHI_COLS = ["HomePlanet", "Destination", "CryoSleep", "VIP"]
@@ -407,12 +416,12 @@ def _chi_sql() -> str:
 
 @register("stat_chi2", with_views(_chi_sql()))
 def q_stat_chi2(spark, sf):
-    return float32(ST.chi_square(_train(spark, sf), CHI_COLS, "Transported", with_p=False), ["chi2"])
+    return float32(ST.chi_square(_slim_train(spark, sf), CHI_COLS, "Transported", with_p=False), ["chi2"])
 
 
 @register("stat_chi2_pvalue")
 def q_stat_chi2_p(spark, sf):
-    return ST.chi_square(_train(spark, sf), CHI_COLS, "Transported", with_p=True)
+    return ST.chi_square(_slim_train(spark, sf), CHI_COLS, "Transported", with_p=True)
 
 
 CORR_COLS = ["Age", *SPEND, "CryoSleep_int", "VIP_int"]
@@ -475,7 +484,7 @@ _SKEY = "((CAST(string_split(PassengerId, '_')[2] AS BIGINT) * 7919 + 2026) % 10
 @register("win_rank_sample", with_views(f"SELECT PassengerId, Age FROM manifest ORDER BY {_SKEY}, PassengerId LIMIT 200"))
 def q_win_rank_sample(spark, sf):
     key = (C.part("PassengerId", "_", 1).cast("long") * 7919 + 2026) % 1000003
-    return WN.sample_n(_m(spark, sf), 200, key, tie="PassengerId").select("PassengerId", "Age")
+    return WN.sample_n(_slim(spark, sf), 200, key, tie="PassengerId").select("PassengerId", "Age")
 
 
 # ---- 2.6 joins ------------------------------------------------------------------------------------
@@ -485,7 +494,7 @@ def q_win_rank_sample(spark, sf):
     "ORDER BY count(*) DESC, HomePlanet) AS rn FROM manifest WHERE HomePlanet IS NOT NULL GROUP BY Destination, HomePlanet) WHERE rn = 1"
     ") s ON m.Destination IS NOT DISTINCT FROM s.Destination"))
 def q_join_lookup(spark, sf):
-    m = _m(spark, sf)
+    m = _slim(spark, sf)
     st = IM.mode_stats(m, "HomePlanet", ["Destination"]).withColumnRenamed("mode", "__stat_DestinationHome")
     out = IM.fill_from_stats(m.withColumn("DestinationHome", F.lit(None).cast("string")), st, ["Destination"], ["DestinationHome"])
     return out.select("PassengerId", F.coalesce("DestinationHome", F.lit("Unknown")).alias("DestinationHome"))
@@ -506,7 +515,7 @@ def q_join_cross_theta(spark, sf):
     "SELECT s.id, s.model, s.p, m.HomePlanet FROM long_scores s JOIN manifest m ON s.id = m.PassengerId", scores=True))
 def q_join_align(spark, sf):
     s = long_scores(spark, sf)
-    m = _m(spark, sf).select(F.col("PassengerId").alias("id"), "HomePlanet")
+    m = _slim(spark, sf).select(F.col("PassengerId").alias("id"), "HomePlanet")
     return s.join(m, "id").select("id", "model", "p", "HomePlanet")
 
 
@@ -515,7 +524,7 @@ def q_join_align(spark, sf):
     "SELECT PassengerId, Transported, is_train FROM manifest WHERE is_train UNION ALL "
     "SELECT PassengerId, NULL, is_train FROM manifest WHERE NOT is_train"))
 def q_set_union(spark, sf):
-    m = _m(spark, sf)
+    m = _slim(spark, sf)
     train = m.where("is_train").select("PassengerId", "Transported", "is_train")
     test = m.where("NOT is_train").select("PassengerId", "is_train")
     return train.unionByName(test, allowMissingColumns=True)
@@ -532,7 +541,7 @@ def q_set_hstack(spark, sf):
     "SELECT Destination, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, Destination) - 1 AS position "
     "FROM manifest WHERE Destination IS NOT NULL GROUP BY Destination"))
 def q_sort_by(spark, sf):
-    vc = PR.value_counts(_m(spark, sf), "Destination")
+    vc = PR.value_counts(_slim(spark, sf), "Destination")
     return WN.row_ranks(vc, [], [F.col("count").desc(), F.col("Destination")], out="position")
 
 
@@ -561,7 +570,7 @@ FROM (SELECT PassengerId, Destination, CAST(Transported AS DOUBLE) AS y, {_TKEY}
   (SELECT avg(CAST(Transported AS DOUBLE)) FROM manifest WHERE is_train) AS prior FROM manifest WHERE is_train)
 WINDOW w AS (PARTITION BY Destination ORDER BY k, PassengerId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""))
 def q_enc_string_cat(spark, sf):
-    tr = _train(spark, sf)
+    tr = _slim_train(spark, sf)
     key = (C.part("PassengerId", "_", 1).cast("long") * 7919 + 42) % 1000003
     enc, _ = EN.target_encode(tr, None, ["Destination"], "Transported", [key, F.col("PassengerId")])
     return float32(enc.select("PassengerId", "Destination_te"))
@@ -572,7 +581,7 @@ def q_enc_string_cat(spark, sf):
     f"FROM (SELECT PassengerId, {c} AS v FROM manifest WHERE NOT is_train) o JOIN (SELECT {c} AS v, count(*) AS n FROM manifest "
     f"WHERE is_train GROUP BY {c}) t ON o.v = t.v" for c in ["Destination", "Cabin"])))
 def q_enc_onehot(spark, sf):
-    m = _m(spark, sf)
+    m = _slim(spark, sf)
     return EN.one_hot_long(m.where("is_train"), m.where("NOT is_train"), "PassengerId", ["Destination", "Cabin"], min_frequency=2)
 
 
@@ -600,7 +609,7 @@ SELECT id, rk < ceil(n * 0.2) AS holdout FROM (
   SELECT PassengerId AS id, row_number() OVER (PARTITION BY Transported ORDER BY {_SKEY}, PassengerId) - 1 AS rk,
     count(*) OVER (PARTITION BY Transported) AS n FROM manifest WHERE is_train)"""))
 def q_split_strat(spark, sf):
-    return SP.stratified_holdout(_train(spark, sf), "PassengerId", "Transported", 0.2, 2026, key=_key_for)
+    return SP.stratified_holdout(_slim_train(spark, sf), "PassengerId", "Transported", 0.2, 2026, key=_key_for)
 
 
 @register("split_kfold", with_views(" UNION ALL ".join(f"""
@@ -608,4 +617,4 @@ SELECT PassengerId AS id, {s} AS seed, CAST((row_number() OVER (PARTITION BY Tra
   ((CAST(string_split(PassengerId, '_')[2] AS BIGINT) * 7919 + {s}) % 1000003), PassengerId) - 1) % 5 AS INTEGER) AS fold
 FROM manifest WHERE is_train""" for s in (2026, 42))))
 def q_split_kfold(spark, sf):
-    return SP.stratified_kfold(_train(spark, sf), "PassengerId", "Transported", 5, (2026, 42), key=_key_for)
+    return SP.stratified_kfold(_slim_train(spark, sf), "PassengerId", "Transported", 5, (2026, 42), key=_key_for)

@@ -19,6 +19,10 @@ def _m(spark, sf):
     return manifest(spark, sf)
 
 
+def _slim(spark, sf):
+    return manifest(spark, sf, spend=False)
+
+
 # ---- flagship: the whole preparation plan --------------------------------------------------------
 FEATURES_SQL = with_views(
     f"SELECT PassengerId, is_train, Transported, {as_float(NUM)}, {', '.join(CAT)} FROM feat", *feature_ctes())
@@ -32,17 +36,17 @@ def q_features(spark, sf):
 # ---- 2.2 decomposition -------------------------------------------------------------------------------
 @register("str_split_id", with_views("SELECT PassengerId, GroupId, GroupNumber, GroupMember FROM d0", *impute_ctes()[:1]))
 def q_split_id(spark, sf):
-    return P.decompose(_m(spark, sf)).select("PassengerId", "GroupId", "GroupNumber", "GroupMember")
+    return P.decompose(_slim(spark, sf)).select("PassengerId", "GroupId", "GroupNumber", "GroupMember")
 
 
 @register("str_split_path", with_views("SELECT PassengerId, Cabin, CabinDeck, CabinNum, CabinSide, CabinKnown FROM d0", *impute_ctes()[:1]))
 def q_split_path(spark, sf):
-    return P.decompose(_m(spark, sf)).select("PassengerId", "Cabin", "CabinDeck", "CabinNum", "CabinSide", "CabinKnown")
+    return P.decompose(_slim(spark, sf)).select("PassengerId", "Cabin", "CabinDeck", "CabinNum", "CabinSide", "CabinKnown")
 
 
 @register("str_split_first", with_views("SELECT PassengerId, Name, FirstName, Surname FROM d0", *impute_ctes()[:1]))
 def q_split_first(spark, sf):
-    return P.decompose(_m(spark, sf)).select("PassengerId", "Name", "FirstName", "Surname")
+    return P.decompose(_slim(spark, sf)).select("PassengerId", "Name", "FirstName", "Surname")
 
 
 # ---- 2.4 imputation --------------------------------------------------------------------------------
@@ -51,7 +55,7 @@ def q_split_first(spark, sf):
     level("m1", "manifest", ["Destination", "CryoSleep"], ["HomePlanet"])))
 def q_imp_mode(spark, sf):
     """Composite key with NULLs as groups: fill HomePlanet by (Destination, CryoSleep) mode."""
-    return IM.fill_mode(_m(spark, sf), ["HomePlanet"], ["Destination", "CryoSleep"]).select("PassengerId", "HomePlanet")
+    return IM.fill_mode(_slim(spark, sf), ["HomePlanet"], ["Destination", "CryoSleep"]).select("PassengerId", "HomePlanet")
 
 
 @register("imp_median", with_views(
@@ -60,7 +64,7 @@ def q_imp_mode(spark, sf):
     level("m2", "m1", ["Destination"], [], ["Age"]),
     level("m3", "m2", [], [], ["Age"])))
 def q_imp_median(spark, sf):
-    df = IM.fill_median(_m(spark, sf), ["Age"], [["HomePlanet"], ["Destination"]], global_fill=True)
+    df = IM.fill_median(_slim(spark, sf), ["Age"], [["HomePlanet"], ["Destination"]], global_fill=True)
     return float32(df.select("PassengerId", "Age"))
 
 

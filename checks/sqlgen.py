@@ -11,8 +11,8 @@ LABEL_SQL = "((o.o_orderstatus = 'F' AND o.o_totalprice > 100000) OR (o.o_orders
 MANIFEST_CTE = f"""
 spend AS (
   SELECT l_orderkey,
-    {", ".join(f"max(CASE WHEN l_linenumber = {i + 1} THEN l_extendedprice END) AS _s{i}" for i in range(5))}
-  FROM lineitem WHERE l_linenumber <= 5 GROUP BY l_orderkey
+    {", ".join(f"CAST(sum(CASE WHEN (l_linenumber - 1) % 5 = {i} THEN CAST(l_extendedprice AS DECIMAL(18, 2)) END) AS DOUBLE) AS _s{i}" for i in range(5))}
+  FROM lineitem GROUP BY l_orderkey
 ),
 manifest AS (
   SELECT

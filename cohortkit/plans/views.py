@@ -31,17 +31,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of line prices by order and line number modulo 5, in one partial
+    aggregation.  Decimal sums don't depend on the order of summation; a column
+    without lines is null."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    slot = (F.col("l_linenumber") - 1) % 5
+    return li.groupBy("l_orderkey").agg(*[F.sum(F.when(slot == i, F.col("price"))).cast("double").alias(f"_s{i}") for i in range(5)])
+
+
+def manifest(spark: SparkSession, sf_dir: str, spend: bool = True) -> DataFrame:
+    """One row per order.  The five spend columns are exact decimal sums over
+    all lines of the order, dealt to the columns by line number modulo 5.
+    ``spend=False`` leaves these columns out, and with them the aggregation of
+    ``lineitem``, for plans that use none of them."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice").where(F.col("l_linenumber") <= 5)
-    # One partial aggregation over lineitem; conditional max per line number
-    # (max is exact in any summation order).
-    spend = li.groupBy("l_orderkey").agg(
-        *[F.max(F.when(F.col("l_linenumber") == i + 1, F.col("l_extendedprice"))).alias(f"_s{i}") for i in range(5)]
-    )
     k = F.col("o_orderkey")
     zero_spend = (k % 4) == 0
     seg = F.col("c_mktsegment")
@@ -49,8 +56,9 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.join(c, o.o_custkey == c.c_custkey, "left")
         .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .join(spend, o.o_orderkey == spend.l_orderkey, "left")
     )
+    if spend:
+        base = base.join(_spend(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     is_train = (k % 5) != 3
     label = ((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 100000)) | (
         (F.col("o_orderstatus") != "F") & (F.col("o_totalprice") > 400000))
@@ -64,7 +72,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 6 != 0, ((F.col("c_custkey") % 60) + (k % 20)).cast("double")).alias("Age"),
         F.when(k % 8 != 0, F.col("c_acctbal") > 8000).alias("VIP"),
         *[F.when(F.col(f"_s{i}").isNotNull() & zero_spend, F.lit(0.0)).otherwise(F.col(f"_s{i}")).alias(name)
-          for i, name in enumerate(SPEND_COLS)],
+          for i, name in enumerate(SPEND_COLS if spend else [])],
         F.when(k % 13 == 0, F.lit(None).cast("string"))
         .when(k % 17 == 0, F.concat(F.lit("F"), (k % 97).cast("string")))
         .otherwise(F.concat(F.lit("F"), (k % 97).cast("string"), F.lit(" "), F.col("n_name"))).alias("Name"),
