@@ -43,13 +43,11 @@ def best_cut(scores: DataFrame, by: Sequence[str] = (), score: str = "p", label:
     c = scores.groupBy(*by, F.col(score).alias("__p")).agg(
         F.count(F.lit(1)).alias("__n"), F.sum(F.col(label).cast("long")).alias("__pos"))
     c = prefix_sums(c, by, ["__p"], {"__cn": "__n", "__cpos": "__pos"}, hot_rows=hot_rows)
-    tot = c.groupBy(*by).agg(F.sum("__n").alias("n"), F.sum("__pos").alias("__ptot"))
-    c = c.join(tot, by) if by else attach_row(c, tot)
-    c = c.withColumn("__correct", (F.col("__cn") - F.col("__cpos")) + (F.col("__ptot") - F.col("__cpos")))
-    best = c.groupBy(*by).agg(F.min(F.struct((-F.col("__correct")).alias("nc"), F.col("__p").alias("p"))).alias("b"),
-                              F.first("n").alias("n"), F.first("__ptot").alias("ptot"))
-    beaten = -F.col("b.nc") > F.col("ptot")
-    correct = F.when(beaten, -F.col("b.nc")).otherwise(F.col("ptot"))
+    # the group's positives are the same for all its cuts, so they don't move the minimum
+    best = c.groupBy(*by).agg(F.min(F.struct((2 * F.col("__cpos") - F.col("__cn")).alias("loss"), F.col("__p").alias("p"))).alias("b"),
+                              F.sum("__n").alias("n"), F.sum("__pos").alias("ptot"))
+    beaten = F.col("b.loss") < 0
+    correct = F.col("ptot") - F.least(F.col("b.loss"), F.lit(0))
     return best.select(*by, F.when(beaten, F.col("b.p")).otherwise(F.lit(NEG_INF)).alias("cut"),
                        correct.cast("long").alias("correct"), F.col("n").cast("long").alias("n"),
                        (correct / F.col("n")).alias("accuracy"))
@@ -189,11 +187,10 @@ def pick_calibration(scores: DataFrame, candidates: Sequence[str], default_cut:
     long = long.unpivot([score, label], list(candidates), "candidate", "group").withColumn(
         "group", F.coalesce(F.col("group"), F.lit("Unknown")))
     cuts = best_cut(long, by=["candidate", "group"], score=score, label=label)
-    d = F.lit(float(default_cut))
-    cuts = cuts.select("candidate", "group", F.when(F.col("n") >= min_count, F.col("cut")).otherwise(d).alias("cut"))
-    j = long.join(cuts, ["candidate", "group"])
-    acc = j.groupBy("candidate").agg(
-        (F.count_if((F.col(score) > F.col("cut")) == (F.col(label) == 1)) / F.count(F.lit(1))).alias("accuracy"))
+    at_default = long.groupBy("candidate", "group").agg(
+        F.count_if((F.col(score) > F.lit(float(default_cut))) == (F.col(label) == 1)).alias("plain"))
+    right = F.when(F.col("n") >= min_count, F.col("correct")).otherwise(F.col("plain"))
+    acc = cuts.join(at_default, ["candidate", "group"]).groupBy("candidate").agg((F.sum(right) / F.sum("n")).alias("accuracy"))
     order = F.create_map(*[x for i, c in enumerate(candidates) for x in (F.lit(c), F.lit(i))])
     acc = acc.withColumn("rank", order[F.col("candidate")])
     best = acc.where(F.col("accuracy") > base_accuracy).agg(
