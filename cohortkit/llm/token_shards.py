@@ -11,7 +11,7 @@ fixed offset and reading can resume anywhere.
 
 Stream offsets are a prefix sum over partitions (one row each, broadcast) plus
 a running sum inside a partition; token ids are shuffled once, to the task that
-writes their shard.  A task holds one shard's bytes.  A shard is written under a
+writes their shard.  Between the steps ids are held as zstd-compressed bytes.  A task holds one shard's bytes.  A shard is written under a
 name of its attempt and then renamed, so a lost executor leaves no half file.
 
 Defined results: null and empty texts are an end mark alone; repeated rows are
@@ -89,9 +89,17 @@ def encoder(vocabulary: str):
     return _encoders[vocabulary]
 
 
+def _packed(ids: bytes) -> bytes:
+    return pa.compress(ids, codec="zstd", asbytes=True)
+
+
+def _unpacked(ids: pa.Scalar, size: int) -> pa.Buffer:
+    return pa.decompress(ids.as_buffer(), decompressed_size=2 * int(size), codec="zstd")
+
+
 def tokenised(docs: DataFrame, vocabulary: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``part`` and ``start`` (place in its partition's stream), ``ids``
-    (uint16 as bytes) with the end mark."""
+    (uint16 as compressed bytes) with the end mark, ``size`` of them."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
     kind = source.schema["id"].dataType.simpleString()
 
@@ -101,6 +109,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end: int, id_col: str = "doc_id"
         for batch in batches:
             ids = [np.asarray(enc.encode_ordinary(t or ""), "<u2").tobytes() + mark for t in batch.column(1).to_pylist()]
             sizes = np.array([len(x) // 2 for x in ids], np.int64)
+            ids = [_packed(x) for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(at + np.cumsum(sizes) - sizes), pa.array(sizes), pa.array(ids, pa.binary())], ["id", "part", "start", "size", "ids"])
             at += int(sizes.sum())
 
@@ -120,25 +129,28 @@ def write_shards(docs: DataFrame, vocabulary: str, end: int = 50256, length: int
     total = parts.agg(F.sum("size")).first()[0] or 0
     n = -(-total // length)
     kind = tokens.schema["id"].dataType.simpleString()
-    placed = tokens.join(F.broadcast(parts.select("part", "base")), "part").select("id", (F.col("base") + F.col("start")).alias("start"), "ids")
+    placed = tokens.join(F.broadcast(parts.select("part", "base")), "part").select("id", (F.col("base") + F.col("start")).alias("start"), "ids", "size")
 
     def pieces(batches):
         for batch in batches:
             start = batch.column(1).to_numpy()
-            size = np.array([len(x.as_buffer()) // 2 for x in batch.column(2)], np.int64)
+            size = batch.column(3).to_numpy()
             first, last = start // length, (start + size - 1) // length
             count = last - first + 1
             row = np.repeat(np.arange(len(start)), count)
             sequence = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
             a = np.maximum(sequence * length, start[row])
             b = np.minimum((sequence + 1) * length, (start + size)[row])
-            data = [x.as_buffer() for x in batch.column(2)]
-            cut = [data[r].slice(2 * int(x - start[r]), 2 * int(y - x)).to_pybytes() for r, x, y in zip(row, a, b)]
+            cut, of, data = [], -1, None
+            for i, x, y in zip(row, a, b):
+                if i != of:  # one text's ids at a time
+                    of, data = i, _unpacked(batch.column(2)[int(i)], size[i])
+                cut.append(_packed(data.slice(2 * int(x - start[i]), 2 * int(y - x)).to_pybytes()))
             slot = permute(sequence, n, key)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sequence), pa.array(slot), pa.array(slot // shard_slots), pa.array(a - sequence * length), pa.array(cut, pa.binary())],
-                                             ["id", "sequence", "slot", "shard", "at", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sequence), pa.array(slot), pa.array(slot // shard_slots), pa.array(a - sequence * length), pa.array(cut, pa.binary()), pa.array(b - a)],
+                                             ["id", "sequence", "slot", "shard", "at", "ids", "size"])
 
-    cut = placed.mapInArrow(pieces, f"id {kind}, sequence long, slot long, shard long, at long, ids binary")
+    cut = placed.mapInArrow(pieces, f"id {kind}, sequence long, slot long, shard long, at long, ids binary, size long")
     cut = cut.repartition(max(1, -(-n // shard_slots)), "shard").sortWithinPartitions("slot", "at")
 
     def write(batches):
@@ -162,12 +174,12 @@ def write_shards(docs: DataFrame, vocabulary: str, end: int = 50256, length: int
                 "file": [final] * len(slots)})
 
         for batch in batches:
-            for i, (sequence, slot, shard, at) in enumerate(zip(*[batch.column(c).to_pylist() for c in (1, 2, 3, 4)])):
+            for i, (sequence, slot, shard, at, size) in enumerate(zip(*[batch.column(c).to_pylist() for c in (1, 2, 3, 4, 6)])):
                 if held.get("shard") != shard:
                     if held:
                         yield from finish()
                     held = {"shard": shard, "rows": {}, "data": np.full((shard_slots, length), end, "<u2"), "kind": batch.schema.field(0).type}
-                ids = np.frombuffer(batch.column(5)[i].as_buffer(), "<u2")
+                ids = np.frombuffer(_unpacked(batch.column(5)[i], size), "<u2")
                 held["data"][slot - shard * shard_slots, at : at + len(ids)] = ids
                 row = held["rows"].setdefault(slot, [sequence, 0, []])
                 row[1] += len(ids)
