@@ -31,9 +31,11 @@ link is verified on the whole shingle sets.
 
 Bounds: buckets are cut into blocks of about 4 096 rows (step 3: all pairs of
 blocks); signatures are of fixed size; shingle sets travel only for documents in
-pairs; nothing is collected.  Defined results: null texts and texts without a
-word are alone in their class, as are null ids; rows that share an id are one
-node; an empty table gives no rows.
+pairs; nothing is collected.  ``classes`` and ``keep_one`` number the rows of a
+written copy of their input, and that number is the node: ids may be null or
+repeated.  Defined results: null texts and texts without a word are alone in
+their class; a class is named by its least id that isn't null; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -49,6 +51,9 @@ from cohortkit.llm.graph import components, mixed_buckets
 
 __all__ = ["signatures", "links", "classes", "keep_one", "shingle_units", "darts"]
 
+#: Salts over which the rows of a group are dealt when the group is named.
+_SALTS = 32
+
 _TO_UNIT = 1.0 / float(1 << 53)
 
 
@@ -348,19 +353,38 @@ def _checked(docs: DataFrame, pairs: DataFrame, n: int, threshold: float, id_col
     return written(_verified(pairs, sets, threshold), f"{name}-links")
 
 
-def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row for each document: its id and ``class_id``, the least id of its
-    group (its own if it stands alone)."""
-    found, member = links(docs, n, threshold, id_col=id_col, text_col=text_col, **how)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number of each row, which holds from then on."""
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
+def _roots(rows: DataFrame, n: int, threshold: float, text_col: str, **how) -> DataFrame:
+    """Rows in a group (``__row``), with the least row of the group (``root``)."""
+    found, member = links(rows, n, threshold, id_col="__row", text_col=text_col, **how)
     ties = found.select("a", "b").unionByName(member.where("node != rep").select(F.col("rep").alias("a"), F.col("node").alias("b")))
-    root = components(ties)
-    return docs.select(F.col(id_col)).join(root, F.col(id_col) == F.col("node"), "left").select(id_col, F.coalesce("root", id_col).alias("class_id"))
+    return written(components(ties).withColumnRenamed("node", "__row"), "roots")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with all columns, one document of each group: the one with the
-    least id.  Documents without a group, an id or a word all stay; rows that
-    repeat an id with the same words leave one."""
-    groups = classes(docs, id_col=id_col, text_col=text_col, **how)
-    gone = groups.where(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row for each row of ``docs``: its id and ``class_id``, the least id of
+    its group (its own if it stands alone)."""
+    rows = _numbered(docs.select(id_col, text_col))
+    root, ids = _roots(rows, n, threshold, text_col, **how), rows.select("__row", id_col)
+    names = root.join(ids, "__row").groupBy("root").agg(F.min(id_col).alias("class_id"))
+    # salted: one group may hold a large share of all rows
+    names = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    named = root.withColumn("salt", F.pmod(F.xxhash64("__row"), F.lit(_SALTS)).cast("int")).join(names, ["root", "salt"]).select("__row", "class_id")
+    return ids.join(named, "__row", "left").select(id_col, F.coalesce("class_id", id_col).alias("class_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with all columns, one row of each group: the one with the least
+    id, of equal ids the first row; null ids come last.  Rows without a group or
+    a word all stay; rows that repeat an id with other words are judged by their
+    own words."""
+    rows = _numbered(docs)
+    root = _roots(rows, n, threshold, text_col, **how)
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
+    first = root.join(rows.select("__row", id_col), "__row").groupBy("root").agg(F.min(order).alias("first"))
+    gone = root.join(first.select(F.col("first.row").alias("__row")), "__row", "left_anti").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)

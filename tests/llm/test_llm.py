@@ -113,6 +113,20 @@ def test_near_dedup_against_brute_force(spark, real):
     assert len(edge) == len(EDGE) and near_dedup.classes(_docs(spark, EDGE).limit(0)).count() == 0
 
 
+def test_keep_one_removes_rows_not_ids(spark):
+    one, two, three = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(3, one, "s"), (3, one, "s"), (9, one, "s"), (None, two, "s"), (None, two, "s"), (7, three, "s"), (8, one + " more", "s"), (8, two + " tail", "s"), (8, "text of its own", "s"), (None, three, "s"), (1, None, "s"), (1, None, "s")]
+    got = near_dedup.keep_one(_docs(spark, rows))
+    assert got.columns == [f.split()[0] for f in SCHEMA.split(", ")]
+    # one: id 3 once, without 9 and the row of 8 like it; two: the row with an id goes before the null ones; three: 7
+    assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted([(3, one), (8, two + " tail"), (7, three), (8, "text of its own"), (1, ""), (1, "")])
+    nulls = near_dedup.keep_one(_docs(spark, [(None, two, "s")] * 3)).collect()
+    assert [r.text for r in nulls] == [two]
+    named = near_dedup.classes(_docs(spark, rows)).collect()
+    assert sorted(((r.doc_id or 0), r.class_id or 0) for r in named) == sorted([(3, 3), (3, 3), (9, 3), (0, 8), (0, 8), (7, 7), (8, 3), (8, 8), (8, 8), (0, 7), (1, 1), (1, 1)])
+    assert near_dedup.keep_one(_docs(spark, rows).limit(0)).count() == 0
+
+
 def test_sharding_fits(spark, real):
     for limit in (4 << 10, 64 << 10):
         got = sharding.assign(real[0], limit).toPandas()
