@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from cohortkit.llm.common import written
 from cohortkit.operators.windows import prefix_sums
 
-__all__ = ["assign", "directory", "attach", "HASH_BITS"]
+__all__ = ["assign", "directory", "attach", "paged", "HASH_BITS"]
 
 HASH_BITS = 60
 
@@ -45,6 +45,11 @@ def id_hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
+def text_bytes(text: Column) -> Column:
+    """The bytes a text counts for."""
+    return F.coalesce(F.octet_length(text.cast("string")), F.lit(0)).cast("long")
+
+
 def _prefix(h: Column, bits: int) -> Column:
     return F.shiftright(h, HASH_BITS - bits) if bits else F.lit(0).cast("long")
 
@@ -95,20 +100,29 @@ def attach(rows: DataFrame, cells: list[tuple[int, DataFrame]], h: Column) -> Da
     return out.select(*rows.columns, F.substring(bit_text, F.lit(1), F.col("__leaf.depth")).alias("shard"), "__leaf.depth", "__leaf.shard_bytes", "__leaf.shard_docs", "__leaf.single")
 
 
-def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: its id, ``n_bytes``, ``shard``, ``depth``,
-    and the shard's ``shard_bytes`` and ``shard_docs``."""
-    rows = written(docs.select(F.col(id_col), id_hash(F.col(id_col)).alias("hash"), F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes")), "bytes")
-    got = attach(rows, directory(rows, limit), F.col("hash"))
-    names = [id_col, "n_bytes", "shard", "depth", "shard_bytes", "shard_docs"]
-    plain = got.where(~F.col("single") | (F.col("shard_docs") == 1)).select(*names)
-    if not got.where(F.col("single") & (F.col("shard_docs") > 1)).limit(1).count():
-        return plain
-    crowd = written(got.where(F.col("single") & (F.col("shard_docs") > 1)).withColumn("tie", F.monotonically_increasing_id()), "crowd")
+def paged(rows: DataFrame, cells: list[tuple[int, DataFrame]], h: Column, limit: int) -> DataFrame:
+    """``attach`` for ``rows`` with their bytes (``n_bytes``), with overflow
+    pages where a bucket of one id has more rows than fit: ``shard`` is the
+    bucket and the page, the shard's bytes and rows are the page's.  Then
+    ``single`` is left for one row above the limit."""
+    got = attach(rows, cells, h)
+    over = F.col("single") & (F.col("shard_docs") > 1)
+    if not any(found.where(over).limit(1).count() for _, found in cells):
+        return got
+    # only rows of such buckets are written, with a number that holds; pages are dealt on their sizes alone
+    crowd = written(got.where(over).withColumn("__tie", F.monotonically_increasing_id()), "crowd")
     small = F.when(F.col("n_bytes") * 2 <= limit, F.col("n_bytes")).otherwise(0)
     large = (F.col("n_bytes") * 2 > limit).cast("long")
-    crowd = prefix_sums(crowd, ["shard"], ["n_bytes", "tie"], {"before": small, "nth": large}, inclusive=False)
+    sizes = prefix_sums(crowd.select("shard", "n_bytes", "__tie"), ["shard"], ["n_bytes", "__tie"], {"before": small, "nth": large}, inclusive=False)
     page = F.when(F.col("n_bytes") * 2 > limit, F.concat(F.lit("L"), F.col("nth"))).otherwise(F.concat(F.lit("P"), F.floor(F.col("before") * 2 / limit)))
-    paged = written(crowd.withColumn("shard", F.concat("shard", F.lit("."), page)), "pages")
-    sums = paged.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
-    return plain.unionByName(paged.drop("shard_bytes", "shard_docs").join(sums, "shard").select(*names))
+    pages = written(sizes.select("__tie", "n_bytes", F.concat("shard", F.lit("."), page).alias("shard")), "pages")
+    sums = pages.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
+    said = pages.select("__tie", "shard").join(sums, "shard").withColumn("single", F.col("shard_bytes") > limit)
+    return got.where(~over).unionByName(crowd.drop("shard", "shard_bytes", "shard_docs", "single").join(said, "__tie").select(*got.columns))
+
+
+def assign(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: its id, ``n_bytes``, ``shard``, ``depth``,
+    and the shard's ``shard_bytes`` and ``shard_docs``."""
+    rows = written(docs.select(F.col(id_col), id_hash(F.col(id_col)).alias("hash"), text_bytes(F.col(text_col)).alias("n_bytes")), "bytes")
+    return paged(rows, directory(rows, limit), F.col("hash"), limit).select(id_col, "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")

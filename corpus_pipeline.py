@@ -41,10 +41,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the shard each belongs to."""
-    bytes_of = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rows = written(docs.select(sharding.id_hash(F.col("doc_id")).alias("hash"), bytes_of.alias("n_bytes")), "bytes")
+    h, size = sharding.id_hash(F.col("doc_id")), sharding.text_bytes(F.col("text"))
+    rows = written(docs.select(h.alias("hash"), size.alias("n_bytes")), "bytes")
     cells = sharding.directory(rows, queries.SHARD_BYTES)
-    return sharding.attach(docs, cells, sharding.id_hash(F.col("doc_id")))
+    return sharding.paged(docs.withColumn("n_bytes", size), cells, h, queries.SHARD_BYTES).drop("n_bytes")
 
 
 STAGES = [("quality classifier", classify), ("near-dedup", dedup), ("decontamination", decontaminated), ("mixing", mix), ("sharding", shard)]

@@ -5,6 +5,7 @@ import os
 import re
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,18 @@ def test_sharding_fits(spark, real):
     assert sharding.assign(same.limit(0), 20).count() == 0
 
 
+def test_pipeline_shards_fit(spark, monkeypatch):
+    monkeypatch.setattr(queries, "SHARD_BYTES", 100)
+    rows = [(1, f"copy {i:03d}", "s") for i in range(40)] + [(None, f"lost {i:03d}", "s") for i in range(40)] + [(1, "w" * 70, "s"), (1, "v" * 300, "s"), (2, None, "s"), (2, None, "s")] + [(i, "x" * 30, "s") for i in range(10, 40)]
+    docs = _docs(spark, rows)
+    got = corpus_pipeline.shard(spark, docs, "").toPandas()
+    assert list(got.columns) == [*docs.columns, "shard", "depth", "shard_bytes", "shard_docs", "single"]
+    assert sorted(t or "" for t in got.text) == sorted(t or "" for _, t, _ in rows)
+    per = got.assign(b=got.text.fillna("").str.len()).groupby("shard").agg(b=("b", "sum"), n=("b", "size"), said=("shard_bytes", "first"), docs=("shard_docs", "first"), single=("single", "first"))
+    assert (per.b == per.said).all() and (per.n == per.docs).all() and (per.single == (per.b > 100)).all()
+    assert ((per.b <= 100) | (per.n == 1)).all()
+
+
 def test_fingerprints(spark, real):
     got = {r.doc_id: r for r in queries.op8_fingerprint(spark, SF).collect()}
     text = {r.doc_id: r.text for r in real[0].collect()}
