@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.operators.windows import prefix_sums
 from cohortkit.runtime import cut_lineage
 
-__all__ = ["table", "written", "running_sum", "unit_random"]
+__all__ = ["table", "written", "shipped", "running_sum", "unit_random"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +23,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
+def shipped(spark: SparkSession, path: str) -> str:
+    """Send a file of the driver with the job; tasks open it at
+    ``SparkFiles.get`` of the returned name."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
 def running_sum(df: DataFrame, order: list[Column], value: Column, out: str, inclusive: bool = False) -> DataFrame:
     """Running sum over the whole table in ``order``, by range partitions at
     every size, so no task sorts the table."""
