@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm import decontaminate, fingerprint, license_scan, line_dedup, mixing, near_dedup, pair_bitmaps, quality, sharding, suffix_tree, token_shards
+from cohortkit.llm import decontaminate, fingerprint, license_scan, line_dedup, mixing, near_dedup, pair_bitmaps, quality, sharding, suffix_tree, token_shards, whitening, wrappers
 from cohortkit.llm.common import table
 
 #: Bytes of a shard.
@@ -75,13 +75,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op11_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bitmaps.align(table(spark, sf_dir, "documents"), TOKENIZER_A, TOKENIZER_B)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_mixing": op2_mixing, "op3_license_scan": op3_license_scan, "op4_quality": op4_quality, "op5_suffix_tree": op5_suffix_tree, "op6_token_shards": op6_token_shards,
            "op7_near_dedup": op7_near_dedup, "op8_fingerprint": op8_fingerprint, "op9_line_dedup": op9_line_dedup, "op10_sharding": op10_sharding,
-           "op12_pair_bitmaps": op12_pair_bitmaps}
+           "op11_wrappers": op11_wrappers, "op12_pair_bitmaps": op12_pair_bitmaps, "op13_whitening": op13_whitening}
 
 SQL = {
     "op1_decontaminate": r"""
