@@ -276,7 +276,9 @@ def q_agg_cond(spark, sf):
 @register("prof_overview", with_views(
     "SELECT count(*) AS rows, CAST(sum(CAST(Transported AS INTEGER)) AS BIGINT) AS label_true, "
     "CAST(sum(1 - CAST(Transported AS INTEGER)) AS BIGINT) AS label_false, 14 AS columns, 12 AS features, "
-    "5 AS n_string, 6 AS n_double, 3 AS n_boolean FROM manifest WHERE is_train"))
+    "(SELECT string_agg(t || ':' || n, ',' ORDER BY t) FROM (SELECT CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS t, count(*) AS n "
+    f"FROM (VALUES {', '.join(f'({chr(39)}{t}{chr(39)})' for t in ['VARCHAR'] * 5 + ['DOUBLE'] * 6 + ['BOOLEAN'] * 3)}) v(column_type) GROUP BY 1)) AS types "
+    "FROM manifest WHERE is_train"))
 def q_prof_overview(spark, sf):
     return PR.overview(_train(spark, sf).drop("is_train"), "Transported")
 
@@ -369,13 +371,24 @@ def q_prof_clip_hist(spark, sf):
     return float32(PR.clipped_histogram(_train(spark, sf), ["RoomService"], by="Transported", bins=50), ["density"])
 
 
+_KDE_X = "(mn + (mx - mn) * g / 63)"
+
+
+def _kernel_sql(node: str) -> str:
+    return f"exp(-0.5 * pow(({_KDE_X} - (mn + ({node}) * ((mx - mn) / 4096))) / h, 2))"
+
+
 @register("prof_kde", with_views(f"""
-SELECT s.Transported, g AS point, CAST(mn + (mx - mn) * g / 63 AS FLOAT) AS x,
-  CAST(sum(exp(-0.5 * ((mn + (mx - mn) * g / 63 - Age) / h) * ((mn + (mx - mn) * g / 63 - Age) / h))) / (n * h * sqrt(2 * pi())) AS FLOAT) AS density
-FROM {TRAIN} t JOIN (SELECT Transported, min(Age) AS mn, max(Age) AS mx, count(*) AS n, stddev_samp(Age) * pow(count(*), -0.2) AS h
-  FROM {TRAIN} WHERE Age IS NOT NULL GROUP BY Transported) s ON t.Transported = s.Transported
+SELECT Transported, g AS point, CAST({_KDE_X} AS FLOAT) AS x,
+  CAST(sum((c - w) * {_kernel_sql("node")} + w * {_kernel_sql("node + 1")}) / (n * h * sqrt(2 * pi())) AS FLOAT) AS density
+FROM (SELECT Transported, mn, mx, n, h, node, count(*) AS c, sum(u - node) AS w FROM (
+    SELECT *, least(floor(u), 4095) AS node FROM (
+      SELECT s.*, (Age - mn) / ((mx - mn) / 4096) AS u
+      FROM {TRAIN} t JOIN (SELECT Transported, min(Age) AS mn, max(Age) AS mx, count(*) AS n, stddev_samp(Age) * pow(count(*), -0.2) AS h
+        FROM {TRAIN} WHERE Age IS NOT NULL GROUP BY Transported) s ON t.Transported = s.Transported WHERE Age IS NOT NULL))
+  GROUP BY Transported, mn, mx, n, h, node)
 CROSS JOIN range(0, 64) r(g)
-WHERE Age IS NOT NULL GROUP BY s.Transported, g, mn, mx, n, h"""))
+GROUP BY Transported, g, mn, mx, n, h"""))
 def q_prof_kde(spark, sf):
     return float32(PR.kde(_slim_train(spark, sf), "Age", "Transported", grid=64), ["x", "density"])
 

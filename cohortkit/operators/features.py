@@ -114,20 +114,18 @@ def stringify(df: DataFrame, cols: Sequence[str], missing: str = "Unknown") -> D
 
 
 def clean_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Parse to double, turn NaN/inf into null, fill with the column median.
-
-    A first aggregation counts the nulls of every column (partial
-    aggregation, one small row); the exact medians are then computed only
-    for the columns that have a null, in one aggregation attached by a
-    one-row broadcast.  Columns without nulls are left as they are, which is
-    what a fill would have done."""
+    """Parse to double, turn NaN/inf into null, fill with the column's exact
+    median (a column without any value stays null).  The medians are one row,
+    attached by a one-row broadcast; nothing runs before the result does."""
     df = df.withColumns({c: C.finite_or_null(c) for c in cols})
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    need = [c for c in cols if counts[c] > 0]
-    if not need:
-        return df
-    stats = group_stats(df, [], medians=need)
-    return fill_from_stats(df, stats, [], need)
+    return fill_from_stats(df, group_stats(df, [], medians=cols), [], cols)
+
+
+def with_gaps(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    """Those of ``cols`` that ``clean_numeric`` would fill: one counting job over
+    a written table, for plans that spare themselves the other medians."""
+    counts = df.agg(*[F.count_if(C.finite_or_null(c).isNull()).alias(c) for c in cols]).first()
+    return [c for c in cols if counts[c] > 0]
 
 
 def select_numeric(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

@@ -6,31 +6,35 @@ computed over groups of ``keys``:
 * mode   - most frequent non-null value, the smallest one on ties; and
 * median - exact, linearly interpolated median of the non-null values.
 
+Both come from counts by value (``order_stats``): no key's values are held by one
+reducer, whatever their number.
+
 A NULL key is a group of its own (rows with an unknown key still share a
 statistic), which is why statistics are joined back with null-safe equality.
 
 Levels run *sequentially*: level k+1 computes its statistics on data already
-filled by level k.  Each level is one grouped aggregation (partial
-aggregation on the map side, so a hot key costs one small state per task,
-not one task holding the group) plus one left join of the per-key statistics
-back to the rows.  The join is left to the adaptive planner: a statistics
-table that is small at run time becomes a broadcast, a large one a
+filled by level k.  A cascade parts the rows once: rows that have all the
+columns it fills never change, so they only give statistics, and only the *open*
+rows are rewritten from level to level.  At each level the statistics are joined to
+the open rows that miss one of its columns.  The join is left to the adaptive planner: a
+statistics table that is small at run time becomes a broadcast, a large one a
 sort-merge join whose skewed partitions AQE splits.
 
-Long cascades cut lineage every ``cut_every`` levels (reliable checkpoint in
-the shared checkpoint folder), so the plan depth stays bounded and a lost
-executor does not replay every level.
+Open rows are written to the shared checkpoint folder every ``cut_every``
+levels, so plans stay short and a lost executor does not replay every level.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import lookup
+from cohortkit.operators.order_stats import stats_by
+from cohortkit.operators.windows import HOT_ROWS
 from cohortkit.runtime import cut_lineage
 
 __all__ = [
@@ -47,42 +51,43 @@ class Level:
     modes: Sequence[str] = field(default_factory=list)
     medians: Sequence[str] = field(default_factory=list)
 
+    @property
+    def columns(self) -> list[str]:
+        return [*self.modes, *self.medians]
+
+
+Step = Level | Sequence[Level] | Callable[[DataFrame], DataFrame]
+
 
 def _stat_name(c: str) -> str:
     return f"__stat_{c}"
 
 
 def group_stats(df: DataFrame, keys: Sequence[str], modes: Sequence[str] = (), medians: Sequence[str] = (),
-                approx_medians: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """One grouped aggregation computing every requested statistic.
-
-    ``approx_medians=True`` (opt-in) uses ``percentile_approx``: a fixed-size
-    sketch per key whatever the number of distinct values, for continuous
-    columns of unbounded cardinality.  It returns an observed value (no
-    interpolation), so results differ from the exact median.
-
-    ``mode(c, deterministic=True)`` ignores nulls and returns the lowest of
-    equally frequent values; ``median`` is exact with interpolation.  Both
-    aggregate partially before the shuffle (value -> count maps), so the size
-    of their state is bounded by the number of distinct values per key, not
-    by the number of rows.
+                approx_medians: bool = False, accuracy: int = 10_000, rounds: int = 1) -> DataFrame:
+    """``(keys..., __stat_<column>...)``: every requested statistic of every key.
+
+    ``approx_medians=True`` (opt-in) uses ``percentile_approx``: one pass with a
+    fixed-size sketch per key.  It returns an observed value (no interpolation),
+    so results differ from the exact median.  ``rounds`` as in ``order_stats``: it
+    changes the plan, not the result.
     """
-    aggs: list[Column] = [F.mode(F.col(c), True).alias(_stat_name(c)) for c in modes]
-    if approx_medians:
+    named = {f"__k{i}": k for i, k in enumerate(keys)}
+    if medians and approx_medians:
+        aggs = [F.mode(F.col(c), True).alias(_stat_name(c)) for c in modes]
         aggs += [F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(_stat_name(c)) for c in medians]
-    else:
-        aggs += [F.median(F.col(c).cast("double")).alias(_stat_name(c)) for c in medians]
-    if not keys:
-        return df.agg(*aggs)
-    return df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
+        return df.groupBy(*keys).agg(*aggs)
+    stats = stats_by(df, keys, modes, medians, rounds)
+    return stats.withColumnsRenamed({c: _stat_name(c) for c in [*modes, *medians]}).withColumnsRenamed(named)
 
 
 def mode_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
-    """Per-key mode table ``(keys..., mode)``."""
+    """Per-key mode table ``(keys..., mode)``; keys without a value have no row."""
     return group_stats(df, keys, modes=[col]).withColumnRenamed(_stat_name(col), "mode")
 
 
 def median_stats(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
+    """Per-key median table ``(keys..., median)``; keys without a value have no row."""
     return group_stats(df, keys, medians=[col]).withColumnRenamed(_stat_name(col), "median")
 
 
@@ -122,28 +127,59 @@ def fill_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, cols: str | Sequence[str], levels: Sequence[Sequence[str]], global_fill: bool = True,
-                cut_every: int = 0, approx_medians: bool = False) -> DataFrame:
+                cut_every: int = 1, approx_medians: bool = False, narrow: bool = True) -> DataFrame:
     """Sequential group medians over ``levels`` then (optionally) the global
     median."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     plan = [Level(keys=list(k), medians=cols) for k in levels]
     if global_fill:
         plan.append(Level(keys=[], medians=cols))
-    return cascade(df, plan, cut_every=cut_every, approx_medians=approx_medians)
-
-
-def cascade(df: DataFrame, levels: Sequence[Level], cut_every: int = 0, approx_medians: bool = False) -> DataFrame:
-    """Run ``levels`` in order; each sees the values filled by the previous
-    ones.  ``cut_every > 0`` checkpoints after every that many levels."""
-    for i, lv in enumerate(levels, start=1):
-        cols = list(lv.modes) + list(lv.medians)
-        if not cols:
+    return cascade(df, plan, cut_every=cut_every, approx_medians=approx_medians, narrow=narrow)
+
+
+def _any_null(cols: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for c in cols:
+        missing = missing | F.col(c).isNull()
+    return missing
+
+
+def cascade(df: DataFrame, steps: Sequence[Step], cut_every: int = 0, approx_medians: bool = False, narrow: bool = False) -> DataFrame:
+    """Run ``steps`` in order; each sees the values filled by the previous
+    ones.  A step is a level; or several levels of different columns, none of
+    which is a key of another, which then run at once; or a change of rows, a
+    function of a DataFrame that looks at one row at a time.
+
+    ``cut_every > 0`` writes the table first, as every level reads its complete
+    rows again, and the open rows after every that many steps of levels.  If the
+    written table has at most ``HOT_ROWS`` rows, one task could hold them all, and
+    statistics take the one-stage plan (the same result); ``narrow`` forbids it."""
+    plan = [s if callable(s) else [s] if isinstance(s, Level) else list(s) for s in steps]
+    filled = list(dict.fromkeys(c for s in plan if not callable(s) for lv in s for c in lv.columns))
+    rounds = 1
+    if cut_every:
+        df = cut_lineage(df, "cascade")
+        rounds = 0 if not narrow and df.count() <= HOT_ROWS else 1
+    complete, open_ = df.where(~_any_null(filled)), df.where(_any_null(filled))
+    done = 0
+    for step in plan:
+        if callable(step):
+            complete, open_ = step(complete), step(open_)
             continue
-        stats = group_stats(df, lv.keys, modes=lv.modes, medians=lv.medians, approx_medians=approx_medians)
-        df = fill_from_stats(df, stats, lv.keys, cols)
-        if cut_every and i % cut_every == 0 and i < len(levels):
-            df = cut_lineage(df)
-    return df
+        cols = [c for lv in step for c in lv.columns]
+        if len(set(cols)) < len(cols):
+            raise ValueError(f"levels of one step must fill different columns: {cols}")
+        part = open_.where(_any_null(cols))
+        for lv in step:
+            names = list(dict.fromkeys([*lv.keys, *lv.columns]))
+            known = complete.select(*names).unionByName(open_.select(*names))
+            stats = group_stats(known, lv.keys, modes=lv.modes, medians=lv.medians, approx_medians=approx_medians, rounds=rounds)
+            part = fill_from_stats(part, stats, lv.keys, lv.columns)
+        open_ = part.unionByName(open_.where(~_any_null(cols)))
+        done += 1
+        if cut_every and done % cut_every == 0:
+            open_ = cut_lineage(open_, "open")
+    return complete.unionByName(open_)
 
 
 def fill_from_lookup(df: DataFrame, col: str, key: str, mapping: Mapping) -> DataFrame:

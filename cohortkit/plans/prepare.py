@@ -9,7 +9,8 @@ along as columns, rows are never matched by position.
 Batched cascade.  Imputing column by column would take 23 mode levels and 30
 median levels.  A level's statistic depends only on its own column and its
 keys, so all columns that use the same key at the same point of the sequence
-share one aggregation.  The order below is equivalent to the column-by-column
+share one aggregation.  Levels of different columns whose keys don't change any
+more run in one step.  The steps below are equivalent to the column-by-column
 sequence:
 
  1 GroupId    modes Home Dest Deck Side VIP Cryo, medians Age CabinNum
@@ -18,12 +19,12 @@ sequence:
  4 raw Side   mode Home
  5 Home       modes Dest Deck Side VIP Cryo
  6 Home,Dest  modes Deck Side, median Age
- 7 Dest       mode Cryo            then Cryo, VIP -> False
- 8 Home       median Age
- 9 Deck,Side  median CabinNum
-10 Deck       median CabinNum
-11 global     medians Age CabinNum
-12-15         spend medians by (Home,Dest,Cryo), (Home,Cryo), (Dest,Cryo), global
+ 7 Dest       mode Cryo;  Home median Age;  Deck,Side median CabinNum
+   then Cryo, VIP -> False, and spend 0 where asleep
+ 8 Deck       median CabinNum;  (Home,Dest,Cryo) medians of spend
+ 9 global     medians Age CabinNum;  (Home,Cryo) medians of spend
+10 Dest,Cryo  medians of spend
+11 global     medians of spend
 
 Destination by (Home, Destination) is left out: its own key is null
 whenever the value is, so that level can never fill anything.
@@ -31,7 +32,7 @@ whenever the value is, so that level can never fill anything.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions import columns as C
@@ -94,6 +95,12 @@ def impute(df: DataFrame, cut_every: int = 2) -> DataFrame:
     df = df.withColumns({RAW_DECK: F.col("CabinDeck"), RAW_SIDE: F.col("CabinSide")})
     df = fill_from_lookup(df, "HomePlanet", RAW_DECK, DECK_HOME)
     df = infer_flag(df, "CryoSleep", SPEND_COLS, total_col="TotalSpendRaw")
+
+    def asleep(rows: DataFrame) -> DataFrame:
+        """Unknown flags are off; asleep passengers spend nothing."""
+        rows = rows.withColumns({"CryoSleep": F.coalesce("CryoSleep", F.lit(False)), "VIP": F.coalesce("VIP", F.lit(False))})
+        return rows.withColumns({c: F.when(F.col("CryoSleep"), F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.col(c)) for c in SPEND_COLS})
+
     df = cascade(df, [
         Level(["GroupId"], modes=cats_by_id, medians=["Age", "CabinNum"]),
         Level(["Surname"], modes=cats_by_id, medians=["Age", "CabinNum"]),
@@ -101,19 +108,10 @@ def impute(df: DataFrame, cut_every: int = 2) -> DataFrame:
         Level([RAW_SIDE], modes=["HomePlanet"]),
         Level(["HomePlanet"], modes=["Destination", "CabinDeck", "CabinSide", "VIP", "CryoSleep"]),
         Level(["HomePlanet", "Destination"], modes=["CabinDeck", "CabinSide"], medians=["Age"]),
-        Level(["Destination"], modes=["CryoSleep"]),
-    ], cut_every=cut_every)
-    df = df.withColumns({"CryoSleep": F.coalesce("CryoSleep", F.lit(False)), "VIP": F.coalesce("VIP", F.lit(False))})
-    df = cut_lineage(df) if cut_every else df
-    # Asleep passengers spend nothing.
-    df = df.withColumns({c: F.when(F.col("CryoSleep"), F.coalesce(F.col(c), F.lit(0.0))).otherwise(F.col(c)) for c in SPEND_COLS})
-    df = cascade(df, [
-        Level(["HomePlanet"], medians=["Age"]),
-        Level(["CabinDeck", "CabinSide"], medians=["CabinNum"]),
-        Level(["CabinDeck"], medians=["CabinNum"]),
-        Level([], medians=["Age", "CabinNum"]),
-        Level(["HomePlanet", "Destination", "CryoSleep"], medians=SPEND_COLS),
-        Level(["HomePlanet", "CryoSleep"], medians=SPEND_COLS),
+        [Level(["Destination"], modes=["CryoSleep"]), Level(["HomePlanet"], medians=["Age"]), Level(["CabinDeck", "CabinSide"], medians=["CabinNum"])],
+        asleep,
+        [Level(["CabinDeck"], medians=["CabinNum"]), Level(["HomePlanet", "Destination", "CryoSleep"], medians=SPEND_COLS)],
+        [Level([], medians=["Age", "CabinNum"]), Level(["HomePlanet", "CryoSleep"], medians=SPEND_COLS)],
         Level(["Destination", "CryoSleep"], medians=SPEND_COLS),
         Level([], medians=SPEND_COLS),
     ], cut_every=cut_every)
@@ -123,6 +121,12 @@ def impute(df: DataFrame, cut_every: int = 2) -> DataFrame:
     return df.drop(RAW_DECK, RAW_SIDE)
 
 
+def _mean(c: str) -> Column:
+    """Mean from an exact sum of six decimals: the same in whatever order rows
+    are added."""
+    return F.sum(F.col(c).cast("decimal(28,6)")).cast("double") / F.count(c)
+
+
 def key_features(df: DataFrame, null_family: str = "self") -> DataFrame:
     """Group, family and cabin sizes and means, attached per row.  One
     aggregation per key.  ``null_family='self'``: a passenger without a
@@ -132,14 +136,14 @@ def key_features(df: DataFrame, null_family: str = "self") -> DataFrame:
         df = df.withColumn("Surname", F.coalesce(F.col("Surname"), F.lit("Unknown")))
     by_group = df.groupBy("GroupId").agg(
         F.count(F.lit(1)).cast("double").alias("__stat_GroupSize"),
-        F.avg("Age").alias("__stat_GroupAgeMean"),
-        F.avg("TotalSpend").alias("__stat_GroupSpendMean"),
+        _mean("Age").alias("__stat_GroupAgeMean"),
+        _mean("TotalSpend").alias("__stat_GroupSpendMean"),
         F.max("TotalSpend").cast("double").alias("__stat_GroupSpendMax"),
     )
     by_family = df.groupBy("Surname").agg(
         F.count(F.lit(1)).cast("double").alias("__stat_FamilySize"),
-        F.avg("Age").alias("__stat_FamilyAgeMean"),
-        F.avg("TotalSpend").alias("__stat_FamilySpendMean"),
+        _mean("Age").alias("__stat_FamilyAgeMean"),
+        _mean("TotalSpend").alias("__stat_FamilySpendMean"),
     )
     by_cabin = df.where(F.col("Cabin").isNotNull()).groupBy("Cabin").agg(
         F.count(F.lit(1)).cast("double").alias("__stat_CabinGroupSize"))
@@ -174,18 +178,15 @@ def engineer(df: DataFrame, null_family: str = "self") -> DataFrame:
 
 def build_features(raw: DataFrame, null_family: str = "self", cut_every: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
     """Manifest -> ``(PassengerId, is_train, Transported, 35 numeric, 12 categorical)``."""
-    df = pre_counts(decompose(raw))
-    if cut_every:
-        df = cut_lineage(df, "decomposed")
-    df = impute(df, cut_every=cut_every)
-    if cut_every:
-        df = cut_lineage(df, "imputed")
-    df = engineer(df, null_family)
+    df = engineer(impute(pre_counts(decompose(raw)), cut_every=cut_every), null_family)
     if cut_every:
         # written once: the null count, the medians and the final rows all
         # read it instead of replaying the group-feature joins
         df = cut_lineage(df.select(ID_COL, TRAIN_FLAG, LABEL_COL, *[c for c in keep if c not in NUM_FEATURES + CAT_FEATURES],
                                    *NUM_FEATURES, *CAT_FEATURES), "engineered")
-    df = FE.clean_numeric(df, NUM_FEATURES)
+        gaps = FE.with_gaps(df, NUM_FEATURES)
+        df = FE.clean_numeric(df, gaps) if gaps else df
+    else:
+        df = FE.clean_numeric(df, NUM_FEATURES)
     extra = [c for c in keep if c not in NUM_FEATURES + CAT_FEATURES]
     return df.select(ID_COL, TRAIN_FLAG, LABEL_COL, *extra, *NUM_FEATURES, *CAT_FEATURES)
