@@ -113,8 +113,8 @@ class Ratios:
 def _label_table(labels: DataFrame, id_col: str, target: Column, max_labels: int) -> tuple[np.ndarray, np.ndarray]:
     """Id hashes, sorted, and whether each is a target."""
     rows = (labels.where(target.isNotNull() & F.col(id_col).isNotNull()).groupBy(F.xxhash64(id_col).alias("id"))
-            .agg(F.min(target.cast("int")).alias("good")).orderBy("id").limit(max_labels)).toPandas()
-    return rows["id"].to_numpy(np.int64), rows["good"].to_numpy(bool)
+            .agg(F.min(target.cast("int")).alias("good")).orderBy("id").limit(max_labels)).toArrow()
+    return rows["id"].to_numpy(), rows["good"].to_numpy().astype(bool)
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: Column | str, id_col: str = "doc_id", text_col: str = "text", max_labels: int = MAX_LABELS,
@@ -144,9 +144,11 @@ def fit(docs: DataFrame, labels: DataFrame, target: Column | str, id_col: str =
 
     counts = (docs.select(F.xxhash64(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .mapInArrow(count, "bucket int, raw long, wanted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("wanted").alias("wanted"))
-              .toPandas())  # at most one row for each bucket
+              .toArrow())  # at most one row for each bucket
     raw, wanted = np.zeros(n_buckets + 1), np.zeros(n_buckets + 1)
-    raw[counts["bucket"]], wanted[counts["bucket"]] = counts["raw"], counts["wanted"]
+    at = counts["bucket"].to_numpy()
+    raw[at], wanted[at] = counts["raw"].to_numpy(), counts["wanted"].to_numpy()
+    del counts, at
     ratios = Ratios(raw[:-1], wanted[:-1], int(raw[-1]), int(wanted[-1]), smooth, dead)
     return ratios, float(good.mean()) if len(good) else 1.0, len(good)
 
