@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortkit.operators.windows import prefix_sums
 from cohortkit.runtime import cut_lineage
 
-__all__ = ["table", "written", "shipped", "running_sum", "unit_random"]
+__all__ = ["table", "written", "shipped", "packed", "running_sum", "unit_random"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, f"llm-{name}")
 
 
+def packed(df: DataFrame, name: str, *extra: Column) -> DataFrame:
+    """``df`` written as ``row``, a number of each row that holds from then on, and
+    ``doc``, a struct of all its columns, so that no column of the caller's can
+    clash with one that is added; and the columns ``extra``."""
+    return written(df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc"), *extra), name)
+
+
 def shipped(spark: SparkSession, path: str) -> str:
     """Send a file of the driver with the job; tasks open it at
     ``SparkFiles.get`` of the returned name."""

@@ -30,7 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import running_sum, unit_random, written
+from cohortkit.llm.common import packed, running_sum, unit_random, written
+from cohortkit.operators.windows import row_ranks
 from cohortkit.operators.windows import prefix_sums
 
 __all__ = ["targets", "allocate", "take"]
@@ -142,13 +143,18 @@ def allocate(docs: DataFrame, share: float = 1.5, weights: Sequence[float] = (5.
         F.round(copies * F.col("row.size")).cast("long").alias("taken"))
 
 
-def take(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def take(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: ``docs`` with all columns, each row as often as it is
-    taken (whole copies)."""
-    got = allocate(docs, whole=True, seed=seed, id_col=id_col, text_col=text_col, **how)
-    per = written(got.groupBy(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))
-                  .agg(F.sum("copies").cast("int").alias("__copies"), F.count(F.lit(1)).alias("__rows")), "copies")
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
-    single = docs.join(per.where("__rows = 1 and __copies > 0"), same)
-    alike = docs.join(per.where("__rows > 1 and __copies > 0"), same).dropDuplicates(["__id", "__hash"])
-    return single.unionByName(alike).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    taken (whole copies).  Rows equal in source, id and text share their copies: as
+    many each, the first rows of the written input one more where that leaves a rest."""
+    rows = packed(docs, "mixed")
+    keys = [F.col("doc")[source_col].alias("source"), F.col("doc")[id_col].alias("id"), F.xxhash64(F.col("doc")[text_col]).alias("text_hash")]
+    got = allocate(rows.select(F.col("doc")[id_col].alias("id"), F.col("doc")[text_col].alias("text"), F.col("doc")[source_col].alias("source")),
+                   whole=True, seed=seed, id_col="id", text_col="text", source_col="source", **how)
+    per = got.groupBy(F.col("source").alias("s"), F.col("id").alias("i"), F.col("text_hash").alias("h")).agg(F.sum("copies").cast("long").alias("copies"), F.count(F.lit(1)).alias("alike"))
+    per = written(per.where("copies > 0"), "copies")
+    placed = written(rows.select("row", *keys).join(per, F.expr("source <=> s and id <=> i and text_hash = h")).select("row", "source", "id", "text_hash", "copies", "alike"), "placed")
+    ranked = row_ranks(placed.where("alike > 1"), ["source", "id", "text_hash"], ["row"], "rank")
+    shared = ranked.select("row", (F.floor(F.col("copies") / F.col("alike")) + (F.col("rank") < F.col("copies") % F.col("alike")).cast("long")).alias("copies"))
+    taken = placed.where("alike = 1").select("row", "copies").unionByName(shared.where("copies > 0"))
+    return rows.join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm import words as W
-from cohortkit.llm.common import written
+from cohortkit.llm.common import packed, written
 from cohortkit.llm.graph import components, mixed_buckets
 
 __all__ = ["signatures", "links", "classes", "keep_one", "shingle_units", "darts"]
@@ -382,9 +382,10 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str =
     id, of equal ids the first row; null ids come last.  Rows without a group or
     a word all stay; rows that repeat an id with other words are judged by their
     own words."""
-    rows = _numbered(docs)
-    root = _roots(rows, n, threshold, text_col, **how)
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
-    first = root.join(rows.select("__row", id_col), "__row").groupBy("root").agg(F.min(order).alias("first"))
-    gone = root.join(first.select(F.col("first.row").alias("__row")), "__row", "left_anti").select("__row")
-    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
+    rows = packed(docs, "numbered")
+    own = rows.select(F.col("row").alias("__row"), F.col("doc")[id_col].alias("id"), F.col("doc")[text_col].alias("text"))
+    root = _roots(own.select("__row", "text"), n, threshold, "text", **how)
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("__row").alias("row"))
+    first = root.join(own.select("__row", "id"), "__row").groupBy("root").agg(F.min(order).alias("first"))
+    gone = root.join(first.select(F.col("first.row").alias("__row")), "__row", "left_anti").select(F.col("__row").alias("row"))
+    return rows.join(gone, "row", "left_anti").select("doc.*")
