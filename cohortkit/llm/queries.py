@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from cohortkit.llm import decontaminate, fingerprint, license_scan, line_dedup, mixing, near_dedup, pair_bitmaps, quality, sharding, suffix_tree, token_shards, whitening, wrappers
 from cohortkit.llm.common import table
 
-#: Bytes of a shard.
-SHARD_BYTES = 64 << 20
+#: Bytes of a shard: of the query, small enough to split the smallest tables, and of the pipeline.
+SHARD_BYTES, PIPELINE_SHARD_BYTES = 1 << 20, 64 << 20
 
 #: Public byte-level BPE ranks.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
