@@ -20,31 +20,42 @@ ORACLE_SQL = None
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling keeps."""
+    """Documents that importance resampling keeps: those with null or empty texts
+    have weight 1, rows equal in id and text stay or go together, a tie at the
+    last place is kept whole."""
     return quality.resample(docs, table(spark, sf_dir, "labels"), queries.GOOD).select(*docs.columns)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one with the least id
+    (null ids last, then the first row); null and empty texts all stay."""
     return near_dedup.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of the benchmark."""
+    """Documents without a window of the benchmark; null and empty texts stay,
+    repeated rows are judged each."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as its source's target takes it."""
+    """Every document as often as its source's target takes it; a null source is a
+    source, null and empty texts count no words, rows equal in source, id and text
+    share their copies."""
     return mixing.take(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the shard each belongs to."""
+    """The documents with the shard each belongs to: ``shard``, ``depth``,
+    ``shard_bytes``, ``shard_docs``, ``single``.  Columns of ``docs`` of these names
+    are replaced; repeated rows and null ids share a bucket, which gets pages."""
     h, size = sharding.id_hash(F.col("doc_id")), sharding.text_bytes(F.col("text"))
     rows = written(docs.select(h.alias("hash"), size.alias("n_bytes")), "bytes")
-    cells = sharding.directory(rows, queries.SHARD_BYTES)
-    return sharding.paged(docs.withColumn("n_bytes", size), cells, h, queries.SHARD_BYTES).drop("n_bytes")
+    cells = sharding.directory(rows, queries.PIPELINE_SHARD_BYTES)
+    whole = docs.select(F.struct("*").alias("doc"), size.alias("n_bytes"), h.alias("hash"))
+    got = sharding.paged(whole, cells, F.col("hash"), queries.PIPELINE_SHARD_BYTES)
+    added = ["shard", "depth", "shard_bytes", "shard_docs", "single"]
+    return got.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in added], *added)
 
 
 STAGES = [("quality classifier", classify), ("near-dedup", dedup), ("decontamination", decontaminated), ("mixing", mix), ("sharding", shard)]
