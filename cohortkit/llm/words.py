@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 __all__ = ["ALNUM", "NONSPACE", "LOWER", "utf8", "slices", "find_words", "hash_words", "hash_ngrams", "mix", "distinct"]
 
 #: Bytes of a batch that one vectorised step handles (a longer text is a step of its own).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
