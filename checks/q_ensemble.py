@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.features_sql import DECOMPOSE
+from checks.features_sql import DECOMPOSE, feature_ctes
 from checks.registry import float32, register
 from checks.sqlgen import with_views
 from cohortkit.operators import ensemble as EN
 from cohortkit.plans import prepare as P
-from cohortkit.plans.calibrate import calibrated_decisions
+from cohortkit.plans.calibrate import CANDIDATES, calibrated_decisions
 from cohortkit.plans.views import long_scores, manifest, scores
+from cohortkit.runtime import cut_lineage
 
 WEIGHTS = {"p_a": 0.4, "p_b": 0.4, "p_c": 0.2}
-CANDS = ["DeckSide", "CabinDeck", "Destination", "HomeDestination"]
-GROUP_MIN = 500
+GROUP_MIN = 100
 
 
 def bestcut_sql(name: str, src: str, by: str) -> str:
@@ -47,6 +47,21 @@ def _cal_frames(spark, sf):
     return s.where("split = 'oof'"), s.where("split = 'test'")
 
 
+#: As ``cal``, with the six candidates of the imputed and engineered features.
+CAL6 = """
+cal AS (SELECT s.PassengerId AS id, CAST(s.Transported AS INTEGER) AS y, 0.4 * s.p_a + 0.4 * s.p_b + 0.2 * s.p_c AS p, s.split, 'all' AS g,
+  f.DeckSide, f.CabinDeck, f.Destination, f.HomeDestination, f.CryoHome, CAST(f.ServicesUsed AS VARCHAR) AS ServicesUsed FROM scores s JOIN feat f ON s.PassengerId = f.PassengerId),
+oof AS (SELECT * FROM cal WHERE split = 'oof')"""
+
+
+def _feature_frames(spark, sf):
+    d = P.build_features(manifest(spark, sf)).select("PassengerId", *CANDIDATES)
+    s = scores(spark, sf).join(d, "PassengerId").withColumn("y", F.col("Transported").cast("int"))
+    s = EN.blend(s, WEIGHTS, out="p").withColumnRenamed("PassengerId", "id")
+    s = cut_lineage(s.select("id", "y", "p", "split", *CANDIDATES), "calibration")
+    return s.where("split = 'oof'"), s.where("split = 'test'")
+
+
 def _global(oof):
     return EN.best_cut(oof).first()
 
@@ -100,37 +115,37 @@ def q_ens_apply_thr(spark, sf):
 
 def _select_sql() -> str:
     parts = []
-    for r, c in enumerate(CANDS):
+    for r, c in enumerate(CANDIDATES):
         parts.append(f"""
 cs{r}_src AS (SELECT coalesce({c}, 'Unknown') AS grp, p, y FROM oof),
 {bestcut_sql(f"cs{r}", f"cs{r}_src", "grp").strip()},
 acc{r} AS (SELECT '{c}' AS candidate, {r} AS "rank", count_if((o.p > CASE WHEN b.n >= 100 THEN b.cut ELSE (SELECT cut FROM allcut) END) = (o.y = 1))
   / count(*) AS accuracy FROM cs{r}_src o JOIN cs{r} b ON o.grp = b.grp)""")
-    return ",".join(parts) + ",\naccs AS (" + " UNION ALL ".join(f"SELECT * FROM acc{r}" for r in range(len(CANDS))) + ")"
+    return ",".join(parts) + ",\naccs AS (" + " UNION ALL ".join(f"SELECT * FROM acc{r}" for r in range(len(CANDIDATES))) + ")"
 
 
-_SELECT = CAL + "," + bestcut_sql("allcut", "oof", "g") + "," + _select_sql()
+_SELECT = CAL6 + "," + bestcut_sql("allcut", "oof", "g") + "," + _select_sql()
 
 
 @register("ens_select_cal", with_views("""
 SELECT candidate, CAST(accuracy AS FLOAT) AS accuracy, "rank",
   coalesce("rank" = (SELECT "rank" FROM accs WHERE accuracy > (SELECT accuracy FROM allcut) ORDER BY accuracy DESC, "rank" LIMIT 1), false) AS chosen
-FROM accs""", DECOMPOSE, _SELECT, scores=True))
+FROM accs""", *feature_ctes(), _SELECT, scores=True))
 def q_ens_select_cal(spark, sf):
-    oof, _ = _cal_frames(spark, sf)
+    oof, _ = _feature_frames(spark, sf)
     g = _global(oof)
-    return float32(EN.pick_calibration(oof, CANDS, float(g["cut"]), float(g["accuracy"]), min_count=100), ["accuracy"])
+    return float32(EN.pick_calibration(oof, CANDIDATES, float(g["cut"]), float(g["accuracy"]), min_count=100), ["accuracy"])
 
 
 @register("ens_submit", with_views("""
 SELECT t.id, CASE WHEN ch.candidate IS NULL THEN t.p > (SELECT cut FROM allcut)
   ELSE t.p > coalesce(CASE ch.candidate """ + " ".join(
     f"WHEN '{c}' THEN (SELECT CASE WHEN n >= 100 THEN cut ELSE (SELECT cut FROM allcut) END FROM cs{r} WHERE cs{r}.grp = coalesce(t.{c}, 'Unknown'))"
-    for r, c in enumerate(CANDS)) + """ END, (SELECT cut FROM allcut)) END AS decision
+    for r, c in enumerate(CANDIDATES)) + """ END, (SELECT cut FROM allcut)) END AS decision
 FROM (SELECT * FROM cal WHERE split = 'test') t
 LEFT JOIN (SELECT candidate FROM accs WHERE accuracy > (SELECT accuracy FROM allcut) ORDER BY accuracy DESC, "rank" LIMIT 1) ch ON TRUE""",
-    DECOMPOSE, _SELECT, scores=True))
+    *feature_ctes(), _SELECT, scores=True))
 def q_ens_submit(spark, sf):
-    oof, test = _cal_frames(spark, sf)
-    out, _ = calibrated_decisions(oof, test, {"p": 1.0}, CANDS, label="y", id_col="id", min_count=100)
+    oof, test = _feature_frames(spark, sf)
+    out, _ = calibrated_decisions(oof, test, {"p": 1.0}, CANDIDATES, label="y", id_col="id", min_count=100)
     return out

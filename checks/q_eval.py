@@ -86,22 +86,30 @@ def q_ev_agreement(spark, sf):
 _AVG = "avg_scores AS (SELECT id, 'average' AS model, first(y) AS y, avg(p) AS p FROM long_scores GROUP BY id)"
 
 
-@register("ev_simple_avg", with_views(f"SELECT {MET_COLS} FROM metrics", _AVG, _metrics_cte("avg_scores"), scores=True))
+_BOTH = "both_scores AS (SELECT id, model, y, p FROM long_scores UNION ALL SELECT id, model, y, p FROM avg_scores)"
+
+
+@register("ev_simple_avg", with_views(
+    f"SELECT {MET_COLS}, CASE WHEN model <> 'average' THEN CAST(row_number() OVER (PARTITION BY model = 'average' ORDER BY metrics.accuracy DESC, model) AS INTEGER) END AS place, "
+    "CAST((SELECT max(accuracy) FROM metrics WHERE model = 'average') - metrics.accuracy AS FLOAT) AS behind FROM metrics",
+    _AVG, _BOTH, _metrics_cte("both_scores"), scores=True))
 def q_ev_simple_avg(spark, sf):
-    return float32(EV.metrics(EV.average_model(long_scores(spark, sf))))
+    return float32(EV.against_average(long_scores(spark, sf)))
 
 
 _TIMES = "times AS (SELECT model, count(*) AS rows_scored, sum(p) AS score_mass FROM long_scores WHERE model <> 'c' GROUP BY model)"
 
 
 @register("ev_time_perf", with_views(
-    "SELECT m.model, CAST(m.accuracy AS FLOAT) AS accuracy, CAST(m.auc AS FLOAT) AS auc, t.rows_scored, CAST(t.score_mass AS FLOAT) AS score_mass "
+    "SELECT m.model, CAST(m.accuracy AS FLOAT) AS accuracy, CAST(m.auc AS FLOAT) AS auc, t.rows_scored, CAST(t.score_mass AS FLOAT) AS score_mass, "
+    "CAST(row_number() OVER (ORDER BY t.score_mass ASC NULLS LAST, m.model) AS INTEGER) AS cost_rank "
     "FROM metrics m LEFT JOIN times t ON m.model = t.model", _metrics_cte(), _TIMES, scores=True))
 def q_ev_time_perf(spark, sf):
+    """Score counts and masses stand in for the times of a training run."""
     ls = long_scores(spark, sf)
     times = ls.where(F.col("model") != "c").groupBy("model").agg(F.count(F.lit(1)).alias("rows_scored"), F.sum("p").alias("score_mass"))
     m = EV.metrics(ls).select("model", "accuracy", "auc")
-    return float32(EV.with_times(m, times))
+    return float32(EV.cost_ranks(EV.with_times(m, times), "score_mass"))
 
 
 @register("join_left", with_views(
@@ -113,10 +121,15 @@ def q_join_left(spark, sf):
     return float32(EV.metrics(ls).select("model", "accuracy").join(times, "model", "left"))
 
 
-@register("ev_leaders", with_views("""
-SELECT metric, model, CAST(value AS FLOAT) AS value FROM (
+_LONG_METRICS = "(UNPIVOT metrics ON accuracy, precision, recall, f1, auc, log_loss INTO NAME metric VALUE value)"
+
+
+@register("ev_leaders", with_views(f"""
+SELECT b.metric, b.model, CAST(b.value AS FLOAT) AS value, w.model AS worst_model, CAST(w.value AS FLOAT) AS worst_value FROM (
   SELECT metric, model, value, row_number() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'log_loss' THEN value ELSE -value END, model) AS rn
-  FROM (UNPIVOT metrics ON accuracy, precision, recall, f1, auc, log_loss INTO NAME metric VALUE value)) WHERE rn = 1""",
+  FROM {_LONG_METRICS}) b JOIN (
+  SELECT metric, model, value, row_number() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'log_loss' THEN -value ELSE value END, model) AS rn
+  FROM {_LONG_METRICS}) w ON b.metric = w.metric WHERE b.rn = 1 AND w.rn = 1""",
     _metrics_cte(), scores=True))
 def q_ev_leaders(spark, sf):
-    return float32(EV.leaders(EV.metrics(long_scores(spark, sf))), ["value"])
+    return float32(EV.leaders(EV.metrics(long_scores(spark, sf))), ["value", "worst_value"])

@@ -11,6 +11,7 @@ from checks.registry import float32, register
 from checks.sqlgen import SPEND, with_views
 from cohortkit.functions import columns as C
 from cohortkit.operators import encode as EN
+from cohortkit.operators import ensemble as ENS
 from cohortkit.operators import features as FE
 from cohortkit.operators import impute as IM
 from cohortkit.operators import profile as PR
@@ -19,7 +20,7 @@ from cohortkit.operators import stats as ST
 from cohortkit.operators import windows as WN
 from cohortkit.plans import prepare as P
 from cohortkit.plans.views import long_scores, manifest, scores, table
-from cohortkit.runtime import scratch_path
+from cohortkit.runtime import cut_lineage, scratch_path
 from cohortkit.sources import io as IO
 
 M_COLS = ["PassengerId", "HomePlanet", "CryoSleep", "Cabin", "Destination", "Age", "VIP", *SPEND, "Name", "Transported", "is_train"]
@@ -513,15 +514,14 @@ def q_join_lookup(spark, sf):
     return out.select("PassengerId", F.coalesce("DestinationHome", F.lit("Unknown")).alias("DestinationHome"))
 
 
-@register("join_cross_theta", with_views(
-    "SELECT r_regionkey, i / 100.0 AS w1, j / 100.0 AS w2, (100 - i - j) / 100.0 AS w3 FROM region, range(1, 99) a(i), range(1, 99) b(j) "
-    "WHERE i + j <= 99"))
+@register("join_cross_theta", with_views("""
+SELECT w1 AS w_p_a, w2 AS w_p_b, w3 AS w_p_c, CAST(avg(w1 * p_a + w2 * p_b + w3 * p_c) AS FLOAT) AS mean,
+  CAST(avg(pow(w1 * p_a + w2 * p_b + w3 * p_c - CAST(Transported AS INTEGER), 2)) AS FLOAT) AS squared_error
+FROM scores, (SELECT CAST(i AS DOUBLE) / 100 AS w1, CAST(j AS DOUBLE) / 100 AS w2, CAST(100 - i - j AS DOUBLE) / 100 AS w3
+  FROM range(1, 99) a(i), range(1, 99) b(j) WHERE i + j <= 99) WHERE split = 'oof' GROUP BY ALL""", scores=True))
 def q_join_cross_theta(spark, sf):
-    from cohortkit.operators.ensemble import weight_grid
-
-    g = weight_grid(table(spark, sf, "region").select("r_regionkey"), 100)
-    return g.select("r_regionkey", (F.col("__wi") / 100.0).alias("w1"), (F.col("__wj") / 100.0).alias("w2"),
-                    ((100 - F.col("__wi") - F.col("__wj")) / 100.0).alias("w3"))
+    s = scores(spark, sf).where("split = 'oof'").withColumn("y", F.col("Transported").cast("int"))
+    return float32(ENS.grid_errors(s, ["p_a", "p_b", "p_c"]), ["mean", "squared_error"])
 
 
 @register("join_align", with_views(
@@ -545,9 +545,9 @@ def q_set_union(spark, sf):
 
 @register("set_hstack", with_views(
     "SELECT id, y, max(CASE WHEN model = 'a' THEN p END) AS a, max(CASE WHEN model = 'b' THEN p END) AS b, "
-    "max(CASE WHEN model = 'c' THEN p END) AS c FROM long_scores GROUP BY id, y", scores=True))
+    "max(CASE WHEN model = 'c' THEN p END) AS c, count(*) = 3 AND count(DISTINCT model) = 3 AS whole FROM long_scores GROUP BY id, y", scores=True))
 def q_set_hstack(spark, sf):
-    return long_scores(spark, sf).groupBy("id", "y").pivot("model", ["a", "b", "c"]).agg(F.first("p"))
+    return ENS.stack_columns(long_scores(spark, sf), ["id", "y"], "model", "p", ["a", "b", "c"])
 
 
 @register("sort_by", with_views(
@@ -570,23 +570,34 @@ def q_topk(spark, sf):
     f"SELECT '{c}' AS \"column\", v AS category, CAST(row_number() OVER (ORDER BY count(*) DESC, v) - 1 AS DOUBLE) AS \"index\" "
     f"FROM (SELECT {c} AS v FROM d0 WHERE is_train AND {c} IS NOT NULL) GROUP BY v" for c in ["Destination", "CabinDeck"]), DECOMPOSE))
 def q_enc_category(spark, sf):
-    d = _d0(spark, sf).where("is_train")
-    return EN.category_index_table(d, "Destination").unionByName(EN.category_index_table(d, "CabinDeck"))
+    """The index that training fits, and the same as a Spark table for columns too wide for it."""
+    d = _d0(spark, sf).where("is_train").select("Destination", "CabinDeck")
+    fitted = EN.index_table(EN.index_categories(d.select("Destination").dropna(), d.limit(0), ["Destination"])[2], ["Destination"])
+    return fitted.unionByName(EN.category_index_table(d, "CabinDeck"))
+
+
+TE_COLS = ["HomePlanet", "CryoSleep", "Cabin", "Destination", "VIP", "Name", "GroupId", "CabinDeck", "CabinSide", "FirstName", "Surname", "CabinKnown"]
+TE_SEEDS = (42, 7)
 
 
-_TKEY = "((CAST(string_split(PassengerId, '_')[2] AS BIGINT) * 7919 + 42) % 1000003)"
+def _te_sql() -> str:
+    """Two orders averaged for training rows; statistics of all of them for the others."""
+    num = "CAST(string_split(PassengerId, '_')[2] AS BIGINT)"
+    code = " + ".join(f"(coalesce(sum(y) OVER w{{c}}_{s}, 0) + prior) / (count(*) OVER w{{c}}_{s} + 1.0)" for s in TE_SEEDS)
+    train = ", ".join(f"CAST(({code.format(c=c)}) / {len(TE_SEEDS)} AS FLOAT) AS {c}_te" for c in TE_COLS)
+    windows = ", ".join(f"w{c}_{s} AS (PARTITION BY {c} ORDER BY ({num} * 7919 + {s}) % 1000003, PassengerId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in TE_COLS for s in TE_SEEDS)
+    joins = " ".join(f"LEFT JOIN (SELECT {c}, sum(y) AS sy, count(*) AS n FROM te_train GROUP BY {c}) s{c} ON o.{c} IS NOT DISTINCT FROM s{c}.{c}" for c in TE_COLS)
+    rest = ", ".join(f"CAST((coalesce(s{c}.sy, 0) + prior) / (coalesce(s{c}.n, 0) + 1.0) AS FLOAT) AS {c}_te" for c in TE_COLS)
+    return f"SELECT PassengerId, {train} FROM te_train WINDOW {windows} UNION ALL SELECT o.PassengerId, {rest} FROM (SELECT *, (SELECT max(prior) FROM te_train) AS prior FROM d0 WHERE NOT is_train) o {joins}"
 
 
-@register("enc_string_cat", with_views(f"""
-SELECT PassengerId, CAST((coalesce(sum(y) OVER w, 0) + 1.0 * prior) / (coalesce(count(*) OVER w, 0) + 1.0) AS FLOAT) AS Destination_te
-FROM (SELECT PassengerId, Destination, CAST(Transported AS DOUBLE) AS y, {_TKEY} AS k,
-  (SELECT avg(CAST(Transported AS DOUBLE)) FROM manifest WHERE is_train) AS prior FROM manifest WHERE is_train)
-WINDOW w AS (PARTITION BY Destination ORDER BY k, PassengerId ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""))
+@register("enc_string_cat", with_views(_te_sql(), DECOMPOSE, "te_train AS (SELECT *, CAST(Transported AS DOUBLE) AS y, avg(CAST(Transported AS DOUBLE)) OVER () AS prior FROM d0 WHERE is_train)"))
 def q_enc_string_cat(spark, sf):
-    tr = _slim_train(spark, sf)
-    key = (C.part("PassengerId", "_", 1).cast("long") * 7919 + 42) % 1000003
-    enc, _ = EN.target_encode(tr, None, ["Destination"], "Transported", [key, F.col("PassengerId")])
-    return float32(enc.select("PassengerId", "Destination_te"))
+    """Twelve columns, training and scoring rows."""
+    d = cut_lineage(P.decompose(_slim(spark, sf)).select("PassengerId", "Transported", "is_train", *TE_COLS), "encoded")
+    orders = [(C.part("PassengerId", "_", 1).cast("long") * 7919 + s) % 1000003 for s in TE_SEEDS]
+    tr, (te,) = EN.target_encode(d.where("is_train"), [d.where("NOT is_train")], TE_COLS, "Transported", "PassengerId", orders)
+    return float32(tr.unionByName(te).select("PassengerId", *[c + "_te" for c in TE_COLS]))
 
 
 @register("enc_onehot", with_views(" UNION ALL ".join(

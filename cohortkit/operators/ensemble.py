@@ -13,14 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.columns import weighted_sum
 from cohortkit.operators.impute import attach_row
 from cohortkit.operators.windows import prefix_sums
+from cohortkit.runtime import cut_lineage
 
-__all__ = ["NEG_INF", "blend", "best_cut", "weight_grid", "tune_blend", "group_cuts", "apply_cuts",
+__all__ = ["NEG_INF", "blend", "best_cut", "weight_grid", "tune_blend", "grid_errors", "stack_columns", "stack_faults", "group_cuts", "apply_cuts",
            "pick_calibration", "decisions"]
 
 NEG_INF = float("-inf")
@@ -66,82 +69,96 @@ def _grid_weights(wi: Column, wj: Column, steps: int):
     return (wi.cast("double") / steps, wj.cast("double") / steps, (F.lit(steps) - wi - wj).cast("double") / steps)
 
 
-# Largest score table a single task scores for its share of the grid (rows
-# are 4 numbers each); above it the grid goes through Spark windows.
-BLEND_TASK_ROWS = 2_000_000
-BLEND_CHUNK_SCHEMA = "__wi int, __wj int, cut double, correct long"
-
-
-def _blend_chunk_scorer(steps: int, chunks: int):
-    """Per chunk group (all score rows, replicated for this chunk): score the
-    chunk's grid points with a sort + cumulative sum each (same cut rule as
-    ``best_cut``)."""
-    import numpy as np
-    import pandas as pd
-
-    side = steps - 2
-
-    def run(pdf):
-        chunk = int(pdf["__chunk"].iloc[0])
-        y = pdf["__y"].to_numpy(dtype=np.int64)
-        a, b, c = (pdf[k].to_numpy(dtype=np.float64) for k in ("__a", "__b", "__c"))
-        ptot = int(y.sum())
-        out_i, out_j, out_cut, out_cor = [], [], [], []
-        for lin in range(chunk, side * side, chunks):
-            i, j = lin // side + 1, lin % side + 1
-            if i + j > steps - 1:
-                continue
-            s = (i / steps) * a + (j / steps) * b + ((steps - i - j) / steps) * c
-            order = np.argsort(s, kind="stable")
-            ss, ys = s[order], y[order]
-            last = np.flatnonzero(np.r_[ss[1:] != ss[:-1], True])     # end of each run of equal scores
-            cn = last + 1
-            cpos = np.cumsum(ys)[last]
-            correct = (cn - cpos) + (ptot - cpos)
-            k = int(np.argmax(correct))                                 # first = smallest score
-            beaten = int(correct[k]) > ptot
-            out_i.append(i)
-            out_j.append(j)
-            out_cut.append(float(ss[last[k]]) if beaten else NEG_INF)
-            out_cor.append(int(correct[k]) if beaten else ptot)
-        return pd.DataFrame({"__wi": np.array(out_i, dtype=np.int32), "__wj": np.array(out_j, dtype=np.int32),
-                            "cut": np.array(out_cut, dtype=np.float64), "correct": np.array(out_cor, dtype=np.int64)})
-
-    return run
-
-
-def tune_blend(wide: DataFrame, models: Sequence[str], label: str = "y", steps: int = 100, hot_rows: int | None = None,
-               chunks: int | None = None) -> DataFrame:
+# Counters that a task keeps for all weights and bins of a pass (two longs each).
+BLEND_CELLS = 1 << 21
+
+# Weights few enough to be judged exactly, row by row.
+BLEND_FINAL = 32
+
+
+def _triples(steps: int) -> np.ndarray:
+    """All (i, j) with i, j and steps - i - j of one step at least."""
+    return np.array([(i, j) for i in range(1, steps - 1) for j in range(1, steps - i)], dtype=np.int64).reshape(-1, 2)
+
+
+def _blend_bounds(rows: DataFrame, triples: np.ndarray, steps: int, low: float, high: float, bins: int, positives: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each weight triple what its best cut gets right at least and at most,
+    from counts by score bin: cuts between bins are exact, and a cut inside a
+    bin gains at most the bin's negatives.
+
+    Each task bins its rows for all triples and hands on one block of counters
+    for every 64th of the triples, so what is shuffled doesn't depend on the rows."""
+    n, part = len(triples), max(1, -(-len(triples) // 64))
+    weight = [(triples[:, 0] / steps)[:, None], (triples[:, 1] / steps)[:, None], ((steps - triples[:, 0] - triples[:, 1]) / steps)[:, None]]
+    scale = bins / (high - low) if high > low else 0.0
+
+    def count(batches):
+        all_, pos = np.zeros(n * bins, np.int64), np.zeros(n * bins, np.int64)
+        base = np.arange(n)[:, None] * bins
+        step = max(1, (1 << 21) // n)
+        for batch in batches:
+            y, a, b, c = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            for at in range(0, len(y), step):
+                own = slice(at, at + step)
+                score = weight[0] * a[own] + weight[1] * b[own] + weight[2] * c[own]
+                place = base + np.clip(np.floor((score - low) * scale), 0, bins - 1).astype(np.int64)
+                all_ += np.bincount(place.ravel(), minlength=n * bins)
+                pos += np.bincount(place[:, y[own] == 1].ravel(), minlength=n * bins)
+        starts = range(0, n, part)
+        yield pa.RecordBatch.from_arrays([pa.array(list(range(len(starts))), pa.int32()), *(pa.array([x[k * bins : min(k + part, n) * bins].tobytes() for k in starts], pa.binary()) for x in (all_, pos))], ["part", "n", "pos"])
+
+    def add(batches):
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for k, x, z in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                own = [np.frombuffer(v, np.int64) for v in (x, z)]
+                held[k] = [h + o for h, o in zip(held[k], own)] if k in held else own
+        out: list[list] = [[], [], []]
+        for k, (x, z) in held.items():
+            x, z = x.reshape(-1, bins), z.reshape(-1, bins)
+            gain = np.cumsum(x - 2 * z, axis=1)  # right beyond "all positive" for a cut after each bin
+            before = np.hstack([np.zeros((len(gain), 1), np.int64), gain[:, :-1]])
+            out[0] += range(k * part, k * part + len(x))
+            out[1] += (positives + np.maximum(0, gain.max(axis=1))).tolist()
+            out[2] += (positives + np.maximum(0, (before + x - z).max(axis=1))).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], ["triple", "least", "most"])
+
+    blocks = rows.mapInArrow(count, "part int, n binary, pos binary").repartition("part")
+    got = blocks.mapInArrow(add, "triple long, least long, most long").toArrow()  # a row for each triple
+    least, most = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    at = got["triple"].to_numpy()
+    least[at], most[at] = got["least"].to_numpy(), got["most"].to_numpy()
+    return least, most
+
+
+def tune_blend(wide: DataFrame, models: Sequence[str], label: str = "y", steps: int = 100, hot_rows: int | None = None) -> DataFrame:
     """Exhaustive best blend of three score columns on the ``1/steps`` grid
     (all three weights >= 1 step), judged by best-cut accuracy; ties keep the
     first triple in (w1, w2) order.  One row ``(w_<m>..., cut, correct, n, accuracy)``.
 
-    The work is (rows x grid points).  When the table has at most
-    ``BLEND_TASK_ROWS`` rows (checked with a count), the rows are replicated
-    once per chunk of grid points (``chunks`` copies, grouped by chunk) and each task scores its own grid points with a vectorised sort
-    and cumulative sum, so only rows x chunks move through the shuffle.
-    Larger tables take the general path: rows x grid points through
-    ``best_cut`` and its skew-safe running sums, all in Spark.
-    """
-    from cohortkit.operators.windows import HOT_ROWS
-
+    The grid is narrowed by passes over the written scores: counts by score bin
+    bound what each triple's best cut can get right, triples that can't reach the
+    best lower bound are out, and the rest get finer bins (``BLEND_CELLS`` counters
+    a task).  The triples left, ``BLEND_FINAL`` or as many as no finer bins tell
+    apart, are judged by ``best_cut``.  A null score or label counts in no cut."""
     a, b, c = models
-    spark = wide.sparkSession
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    base = wide.select(F.col(label).cast("int").alias("__y"), F.col(a).alias("__a"), F.col(b).alias("__b"), F.col(c).alias("__c"))
-    n_rows = base.count()
-    side = steps - 2          # i, j in 1..steps-2 (and i + j <= steps - 1)
-    if n_rows <= min(hot_rows, BLEND_TASK_ROWS):
-        p = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # an explicit partition count keeps one chunk per task (not merged by AQE)
-        rep = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(p - 1))).alias("__chunk")).repartition(p, "__chunk")
-        cuts = rep.groupBy("__chunk").applyInPandas(_blend_chunk_scorer(steps, p), BLEND_CHUNK_SCHEMA).withColumn(
-            "n", F.lit(n_rows).cast("long"))
-    else:
-        g = weight_grid(base, steps)
-        w1, w2, w3 = _grid_weights(F.col("__wi"), F.col("__wj"), steps)
-        g = g.select("__wi", "__wj", "__y", (w1 * F.col("__a") + w2 * F.col("__b") + w3 * F.col("__c")).alias("__s"))
-        cuts = best_cut(g, by=["__wi", "__wj"], score="__s", label="__y", hot_rows=hot_rows)
+    base = wide.select(F.col(label).cast("int").alias("__y"), *[F.col(m).cast("double").alias(n) for m, n in ((a, "__a"), (b, "__b"), (c, "__c"))])
+    base = cut_lineage(base.dropna(), "blend")
+    low, high, positives = base.agg(F.least(*[F.min(x) for x in ("__a", "__b", "__c")]), F.greatest(*[F.max(x) for x in ("__a", "__b", "__c")]), F.sum("__y")).first()
+    open_ = _triples(steps)
+    bins = 0
+    while low is not None and len(open_) > BLEND_FINAL:
+        finer = min(1 << 16, max(64, BLEND_CELLS // len(open_)))
+        if finer <= bins:
+            break
+        bins = finer
+        least, most = _blend_bounds(base, open_, steps, low, high, bins, positives)
+        open_ = open_[most >= least.max()]
+    grid = F.array(*[F.struct(F.lit(int(i)).alias("__wi"), F.lit(int(j)).alias("__wj")) for i, j in open_])
+    rows = base.select("*", F.inline(grid))
+    w1, w2, w3 = _grid_weights(F.col("__wi"), F.col("__wj"), steps)
+    rows = rows.select("__wi", "__wj", "__y", (w1 * F.col("__a") + w2 * F.col("__b") + w3 * F.col("__c")).alias("__s"))
+    cuts = best_cut(rows, by=["__wi", "__wj"], score="__s", label="__y", hot_rows=hot_rows)
     top = cuts.agg(F.min(F.struct((-F.col("correct")).alias("nc"), F.col("__wi"), F.col("__wj"), F.col("cut"), F.col("n"))).alias("t"))
     wi, wj = F.col("t.__wi"), F.col("t.__wj")
     w1, w2, w3 = _grid_weights(wi, wj, steps)
@@ -149,6 +166,45 @@ def tune_blend(wide: DataFrame, models: Sequence[str], label: str = "y", steps:
                       (-F.col("t.nc")).alias("correct"), F.col("t.n").alias("n"), ((-F.col("t.nc")) / F.col("t.n")).alias("accuracy"))
 
 
+def grid_errors(wide: DataFrame, models: Sequence[str], label: str = "y", steps: int = 100) -> DataFrame:
+    """Mean and mean squared error of every blend of three score columns on the
+    grid, ``(w_<m>..., mean, squared_error)``: the one row of score moments joined
+    with all weight triples (i, j >= 1, i + j <= steps - 1), so the rows are read once."""
+    cols = {f"__{i}": F.col(m).cast("double") for i, m in enumerate(models)} | {"__3": F.col(label).cast("double")}
+    names = list(cols)
+    rows = wide.select(*[v.alias(k) for k, v in cols.items()])
+    pairs = [(x, z) for i, x in enumerate(names) for z in names[i:]]
+    moments = rows.agg(*[F.avg(x).alias(f"m{x}") for x in names], *[F.avg(F.col(x) * F.col(z)).alias(f"p{x}{z}") for x, z in pairs])
+    triples = weight_grid(rows.sparkSession.range(1).select(F.lit(1).alias("one")), steps)
+    both = triples.join(F.broadcast(moments), F.col("__wi") + F.col("__wj") <= steps - 1, "inner")
+    w = [*_grid_weights(F.col("__wi"), F.col("__wj"), steps), F.lit(-1.0)]
+    mean = sum((w[i] * F.col(f"m{names[i]}") for i in range(1, 3)), w[0] * F.col(f"m{names[0]}"))
+    error = F.lit(0.0)
+    for x, z in pairs:
+        i, j = names.index(x), names.index(z)
+        error = error + (1.0 if i == j else 2.0) * w[i] * w[j] * F.col(f"p{x}{z}")
+    return both.select(*[v.alias(f"w_{m}") for m, v in zip(models, w)], mean.alias("mean"), error.alias("squared_error"))
+
+
+def stack_columns(long: DataFrame, keys: Sequence[str], name: str, value: str, names: Sequence[str]) -> DataFrame:
+    """Long ``(keys, name, value)`` to one row for each key with a column for
+    each of ``names``, matched by key and never by position.  ``whole`` tells
+    whether each name came exactly once; a name that came twice gives its
+    largest value, a missing one null."""
+    aggs = [F.max(F.when(F.col(name) == n, F.col(value))).alias(n) for n in names]
+    once = [F.count_if(F.col(name) == n) == 1 for n in names]
+    whole = once[0]
+    for o in once[1:]:
+        whole = whole & o
+    return long.groupBy(*keys).agg(*aggs, whole.alias("whole"))
+
+
+def stack_faults(long: DataFrame, keys: Sequence[str], name: str, names: Sequence[str]) -> DataFrame:
+    """Keys at which a name is missing or doubled: ``(keys, name, n)``."""
+    counts = long.groupBy(*keys).agg(*[F.count_if(F.col(name) == n).alias(n) for n in names])
+    return counts.unpivot(list(keys), list(names), name, "n").where("n != 1")
+
+
 def group_cuts(scores: DataFrame, group: str, default_cut: float | Column, min_count: int = 100, score: str = "p",
                label: str = "y", missing: str = "Unknown") -> DataFrame:
     """Per-group cut for groups with at least ``min_count`` rows, the default

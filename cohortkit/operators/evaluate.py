@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.operators.windows import prefix_sums
+from cohortkit.operators.impute import attach_row
+from cohortkit.operators.windows import prefix_sums, row_ranks
 
-__all__ = ["confusion", "metrics", "auc", "roc_points", "reliability", "average_model", "with_times", "leaders",
+__all__ = ["confusion", "metrics", "auc", "roc_points", "reliability", "average_model", "against_average", "with_times", "cost_ranks", "leaders",
            "EPS"]
 
 # Fixed value: probabilities are clipped to [EPS, 1 - EPS] before the logarithm.
@@ -101,12 +102,36 @@ def with_times(metric_table: DataFrame, times: DataFrame) -> DataFrame:
     return metric_table.join(times, "model", "left")
 
 
+def cost_ranks(times: DataFrame, cost: str, out: str = "cost_rank") -> DataFrame:
+    """``times`` with each model's place by a cost column, the cheapest first
+    (from 1; ties by name; a null cost comes last)."""
+    known = row_ranks(times, [], [F.col(cost).asc_nulls_last(), F.col("model")], out)
+    return known.withColumn(out, (F.col(out) + 1).cast("int"))
+
+
+def against_average(scores: DataFrame, name: str = "average") -> DataFrame:
+    """The metrics of every model and of their simple average, with each
+    single model's ``place`` by accuracy (from 1, ties by name; null for the
+    average) and ``behind``, what it lacks to the average's accuracy."""
+    long = scores.select("id", "model", "y", "p")
+    table = metrics(long.unionByName(average_model(long, name)))
+    is_average = F.col("model") == F.lit(name)
+    ranked = row_ranks(table, [], [is_average, F.col("accuracy").desc(), F.col("model")], "place")
+    ranked = ranked.withColumn("place", F.when(~is_average, F.col("place") + 1).cast("int"))
+    average = table.where(is_average).agg(F.max("accuracy").alias("__a"))
+    return attach_row(ranked, average).withColumn("behind", F.col("__a") - F.col("accuracy")).drop("__a")
+
+
 def leaders(metric_table: DataFrame, higher: Sequence[str] = ("accuracy", "precision", "recall", "f1", "auc"),
             lower: Sequence[str] = ("log_loss",)) -> DataFrame:
-    """Best model per metric (max, or min for the ``lower`` ones; ties -> the
-    alphabetically first model): ``(metric, model, value)``."""
+    """Best and worst model per metric (max is best, min for the ``lower``
+    ones, such as a loss or a time; ties -> the alphabetically first model; null
+    metrics don't count): ``(metric, model, value, worst_model, worst_value)``."""
     cols = list(higher) + list(lower)
     long = metric_table.select("model", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(["model"], cols, "metric", "value")
     sign = F.when(F.col("metric").isin(list(lower)), F.lit(1.0)).otherwise(F.lit(-1.0))
-    best = long.groupBy("metric").agg(F.min(F.struct((sign * F.col("value")).alias("k"), F.col("model").alias("m"))).alias("b"))
-    return best.select("metric", F.col("b.m").alias("model"), (F.col("b.k") * F.when(F.col("metric").isin(list(lower)), 1.0).otherwise(-1.0)).alias("value"))
+    place = sign * F.col("value")
+    best = long.where("value is not null").groupBy("metric").agg(
+        F.min(F.struct(place.alias("k"), F.col("model").alias("m"), "value")).alias("b"),
+        F.min(F.struct((-place).alias("k"), F.col("model").alias("m"), "value")).alias("w"))
+    return best.select("metric", F.col("b.m").alias("model"), F.col("b.value").alias("value"), F.col("w.m").alias("worst_model"), F.col("w.value").alias("worst_value"))

@@ -87,26 +87,20 @@ def chi_square(df: DataFrame, cols: Sequence[str], label: str, missing: str = "M
 
     Contingency counts for all columns come from one aggregation over the
     unpivoted ``(column, value, label)``; expected counts use row and column
-    totals from small windows over the count table.  With one degree of
+    totals, grouped sums of the count table.  With one degree of
     freedom the Yates continuity correction is applied (as scipy does).
     Output: ``(column, chi2, dof[, p, strength])``.
     """
     base = df.select(F.col(label).cast("string").alias("__y"), *[F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c) for c in cols])
     long = base.unpivot(["__y"], list(cols), "column", "value")
     t = long.groupBy("column", "value", "__y").agg(F.count(F.lit(1)).cast("double").alias("o"))
-    # complete the grid: cells with zero count still contribute an expected value
-    vals = t.select("column", "value").distinct()
-    ys = t.select("column", "__y").distinct()
-    grid = vals.join(ys, "column")
+    # row and column totals joined on the column make the whole grid: cells with zero count still contribute an expected value
+    rows = t.groupBy("column", "value").agg(F.sum("o").alias("rt"))
+    cols_ = t.groupBy("column", "__y").agg(F.sum("o").alias("ct"))
+    totals = rows.groupBy("column").agg(F.sum("rt").alias("tot"), F.count(F.lit(1)).alias("nr"))
+    widths = cols_.groupBy("column").agg(F.count(F.lit(1)).alias("nc"))
+    grid = rows.join(cols_, "column").join(totals, "column").join(widths, "column")
     t = grid.join(t, ["column", "value", "__y"], "left").fillna(0.0, subset=["o"])
-    w_col = Window.partitionBy("column")
-    t = t.withColumns({
-        "rt": F.sum("o").over(Window.partitionBy("column", "value")),
-        "ct": F.sum("o").over(Window.partitionBy("column", "__y")),
-        "tot": F.sum("o").over(w_col),
-        "nr": F.size(F.collect_set("value").over(w_col)),
-        "nc": F.size(F.collect_set("__y").over(w_col)),
-    })
     t = t.withColumn("e", F.col("rt") * F.col("ct") / F.col("tot")).withColumn("dof", (F.col("nr") - 1) * (F.col("nc") - 1))
     diff = F.abs(F.col("o") - F.col("e"))
     corr = F.when(F.col("dof") == 1, F.least(F.lit(0.5), diff)).otherwise(F.lit(0.0))

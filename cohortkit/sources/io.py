@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,12 +39,15 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: Str
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem of ``path`` (works for
-    shared storage, not only the driver's local disk)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    """Whether Spark's file reader finds ``path``, in any storage it can read
+    (listing names only: no file is opened)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet",

@@ -78,3 +78,51 @@ def test_kfold_disjoint_covering_balanced(spark):
     per = f.join(df, "id").groupBy("seed", "y", "fold").count().groupBy("seed", "y").agg(
         (F.max("count") - F.min("count")).alias("spread")).collect()
     assert all(r["spread"] <= 1 for r in per)
+
+
+def test_tune_blend_equals_brute_force(spark, monkeypatch):
+    import random
+
+    from cohortkit.operators import ensemble as EN
+
+    monkeypatch.setattr(EN, "BLEND_FINAL", 4)
+    rng = random.Random(8)
+    for kind in ("spread", "ties", "equal"):
+        rows = []
+        for i in range(240):
+            y = rng.randint(0, 1)
+            score = {"spread": lambda: min(1.0, max(0.0, rng.gauss(0.4 + 0.2 * y, 0.25))), "ties": lambda: rng.randint(0, 4) / 4, "equal": lambda: 0.25 + 0.5 * y}[kind]
+            rows.append((i, y, score(), score(), score()))
+        best = None
+        for i in range(1, 19):
+            for j in range(1, 20 - i):
+                s = sorted(((i / 20) * a + (j / 20) * b + ((20 - i - j) / 20) * c, y) for _, y, a, b, c in rows)
+                tries = [(sum(y for _, y in s), float("-inf"))]
+                tries += [(sum((p > cut) == (y == 1) for p, y in s), cut) for cut in sorted({p for p, _ in s})]
+                right, cut = max(tries, key=lambda t: (t[0], -t[1] if t[1] > float("-inf") else float("inf")))
+                if best is None or right > best[0]:
+                    best = (right, i / 20, j / 20, cut)
+        got = EN.tune_blend(spark.createDataFrame(rows, "id int, y int, a double, b double, c double"), ["a", "b", "c"], steps=20).first()
+        assert (got["correct"], got["w_a"], got["w_b"], got["cut"]) == best and got["n"] == 240, kind
+
+
+def test_stack_columns_and_faults(spark):
+    from cohortkit.operators.ensemble import stack_columns, stack_faults
+
+    long = spark.createDataFrame([(1, "a", 0.1), (1, "b", 0.2), (2, "a", 0.3), (3, "a", 0.4), (3, "a", 0.5), (3, "b", 0.6), (None, "b", 0.7)], "id int, model string, p double")
+    got = {r["id"]: (r["a"], r["b"], r["whole"]) for r in stack_columns(long, ["id"], "model", "p", ["a", "b"]).collect()}
+    assert got == {1: (0.1, 0.2, True), 2: (0.3, None, False), 3: (0.5, 0.6, False), None: (None, 0.7, False)}
+    faults = sorted(((r["id"] or 0, r["model"], r["n"]) for r in stack_faults(long, ["id"], "model", ["a", "b"]).collect()))
+    assert faults == [(0, "a", 0), (2, "b", 0), (3, "a", 2)]
+
+
+def test_best_worst_and_average(spark):
+    from cohortkit.operators import evaluate as EV
+
+    table = spark.createDataFrame([("a", 0.8, 5.0), ("b", 0.9, 7.0), ("c", None, 6.0)], "model string, accuracy double, seconds double")
+    got = {r["metric"]: tuple(r)[1:] for r in EV.leaders(table, ["accuracy"], ["seconds"]).collect()}
+    assert got == {"accuracy": ("b", 0.9, "a", 0.8), "seconds": ("a", 5.0, "b", 7.0)}
+    assert {r["model"]: r["cost_rank"] for r in EV.cost_ranks(table, "seconds").collect()} == {"a": 1, "c": 2, "b": 3}
+    long = spark.createDataFrame([(i, m, i % 2, p) for i in range(8) for m, p in (("good", 0.9 if i % 2 else 0.1), ("bad", 0.4 if i % 2 else 0.6))], "id int, model string, y int, p double")
+    rows = {r["model"]: (r["place"], r["behind"]) for r in EV.against_average(long).collect()}
+    assert rows == {"good": (1, 0.0), "bad": (2, 1.0), "average": (None, 0.0)}
