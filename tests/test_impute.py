@@ -49,3 +49,21 @@ def test_approx_median_opt_in(spark):
     df = spark.createDataFrame([(1, "g", 1.0), (2, "g", 2.0), (3, "g", 3.0), (4, "g", None)], "id int, k string, x double")
     assert _by_id(fill_median(df, "x", [["k"]], approx_medians=True), "x")[4] == 2.0
     assert _by_id(fill_median(df, "x", [["k"]]), "x")[4] == 2.0
+
+
+def test_cascade_plans_agree_and_few_keys_move_no_rows(spark, monkeypatch):
+    from cohortkit.operators import impute
+
+    rows = [(i, f"k{i * 7 % 5}" if i % 11 else None, f"v{i * i % 3}" if i % 4 else None, float(i * 13 % 17) if i % 3 else None, None if i % 6 else i % 4 == 0) for i in range(200)]
+    rows += [(200 + i, "lone" if i else None, None, float("nan") if i else None, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, k string, m string, x double, b boolean")
+    steps = [Level(["k"], modes=["m", "b"], medians=["x"]), Level(["m"], medians=["x"], modes=["b"]), Level([], medians=["x"])]
+    read = lambda d: sorted(map(str, d.select("id", "k", "m", "x", "b").collect()))
+    few = cascade(df, steps, cut_every=1)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and "Union" not in plan
+    want = read(cascade(df, steps))
+    assert read(few) == want
+    monkeypatch.setattr(impute, "FEW_KEYS", 0)
+    assert read(cascade(df, steps, cut_every=1)) == want  # within the groups
+    assert read(cascade(df, steps, cut_every=1, narrow=True)) == want  # by joins
