@@ -51,9 +51,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are replaced; repeated rows and null ids share a bucket, which gets pages."""
     h, size = sharding.id_hash(F.col("doc_id")), sharding.text_bytes(F.col("text"))
     rows = written(docs.select(h.alias("hash"), size.alias("n_bytes")), "bytes")
-    cells = sharding.directory(rows, queries.PIPELINE_SHARD_BYTES)
+    cells = sharding.directory(rows, queries.SHARD_BYTES)
     whole = docs.select(F.struct("*").alias("doc"), size.alias("n_bytes"), h.alias("hash"))
-    got = sharding.paged(whole, cells, F.col("hash"), queries.PIPELINE_SHARD_BYTES)
+    got = sharding.paged(whole, cells, F.col("hash"), queries.SHARD_BYTES)
     added = ["shard", "depth", "shard_bytes", "shard_docs", "single"]
     return got.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c.lower() not in added], *added)
 
