@@ -11,7 +11,8 @@ fixed offset and reading can resume anywhere.
 
 Stream offsets are a prefix sum over partitions (one row each, broadcast) plus
 a running sum inside a partition; token ids are shuffled once, to the task that
-writes their shard.  Between the steps ids are held as zstd-compressed bytes.  A task holds one shard's bytes.  A shard is written under a
+writes their shard.  Between the steps ids are held as zstd-compressed bytes, in the written
+table blocks of texts together.  A task holds one shard's bytes.  A shard is written under a
 name of its attempt and then renamed, so a lost executor leaves no half file.
 
 Defined results: null and empty texts are an end mark alone; repeated rows are
@@ -89,8 +90,13 @@ def encoder(vocabulary: str):
     return _encoders[vocabulary]
 
 
+#: Ids (bytes, before compression) of texts that are compressed together.
+_BLOCK = 4 << 20
+_LEVEL = 9
+
+
 def _packed(ids: bytes) -> bytes:
-    return pa.compress(ids, codec="zstd", asbytes=True)
+    return pa.Codec("zstd", compression_level=_LEVEL).compress(ids, asbytes=True)
 
 
 def _unpacked(ids: pa.Scalar, size: int) -> pa.Buffer:
@@ -98,22 +104,33 @@ def _unpacked(ids: pa.Scalar, size: int) -> pa.Buffer:
 
 
 def tokenised(docs: DataFrame, vocabulary: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``part`` and ``start`` (place in its partition's stream), ``ids``
-    (uint16 as compressed bytes) with the end mark, ``size`` of them."""
+    """A row for each block of texts that follow each other: ``id`` and ``sizes``
+    (with the end marks) of its texts, ``part`` and ``start`` (place in its partition's stream), ``ids``
+    (uint16 as compressed bytes) with the end marks, ``size`` of them."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
     kind = source.schema["id"].dataType.simpleString()
 
     def encode(batches):
         enc, at = encoder(vocabulary), 0
         mark = np.array([end], "<u2").tobytes()
+
+        def block(batch, first, texts):
+            size = sum(map(len, texts)) // 2
+            return pa.RecordBatch.from_arrays([
+                pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column(0).slice(first, len(texts))), batch.column(2).slice(first, 1), pa.array([at], pa.int64()),
+                pa.array([[len(x) // 2 for x in texts]], pa.list_(pa.int64())), pa.array([size], pa.int64()), pa.array([_packed(b"".join(texts))], pa.binary())], ["id", "part", "start", "sizes", "size", "ids"]), size
+
         for batch in batches:
-            ids = [np.asarray(enc.encode_ordinary(t or ""), "<u2").tobytes() + mark for t in batch.column(1).to_pylist()]
-            sizes = np.array([len(x) // 2 for x in ids], np.int64)
-            ids = [_packed(x) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(at + np.cumsum(sizes) - sizes), pa.array(sizes), pa.array(ids, pa.binary())], ["id", "part", "start", "size", "ids"])
-            at += int(sizes.sum())
+            first, texts, held = 0, [], 0
+            for i in range(batch.num_rows):
+                texts.append(np.asarray(enc.encode_ordinary(batch.column(1)[i].as_py() or ""), "<u2").tobytes() + mark)
+                held += len(texts[-1])
+                if held >= _BLOCK or i + 1 == batch.num_rows:
+                    out, size = block(batch, first, texts)
+                    yield out
+                    at, first, texts, held = at + size, i + 1, [], 0
 
-    return source.mapInArrow(encode, f"id {kind}, part int, start long, size long, ids binary")
+    return source.mapInArrow(encode, f"id array<{kind}>, part int, start long, sizes array<long>, size long, ids binary")
 
 
 def write_shards(docs: DataFrame, vocabulary: str, end: int = 50256, length: int = 1024, shard_slots: int = 4096, key: int = 17,
@@ -128,30 +145,34 @@ def write_shards(docs: DataFrame, vocabulary: str, end: int = 50256, length: int
     parts = written(parts.select("part", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base")), "stream")
     total = parts.agg(F.sum("size")).first()[0] or 0
     n = -(-total // length)
-    kind = tokens.schema["id"].dataType.simpleString()
-    placed = tokens.join(F.broadcast(parts.select("part", "base")), "part").select("id", (F.col("base") + F.col("start")).alias("start"), "ids", "size")
+    kind = tokens.schema["id"].dataType.elementType.simpleString()
+    placed = tokens.join(F.broadcast(parts.select("part", "base")), "part").select("id", (F.col("base") + F.col("start")).alias("start"), "ids", "sizes", "size")
 
     def pieces(batches):
         for batch in batches:
-            start = batch.column(1).to_numpy()
-            size = batch.column(3).to_numpy()
-            first, last = start // length, (start + size - 1) // length
-            count = last - first + 1
-            row = np.repeat(np.arange(len(start)), count)
-            sequence = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
-            a = np.maximum(sequence * length, start[row])
-            b = np.minimum((sequence + 1) * length, (start + size)[row])
-            cut, of, data = [], -1, None
-            for i, x, y in zip(row, a, b):
-                if i != of:  # one text's ids at a time
-                    of, data = i, _unpacked(batch.column(2)[int(i)], size[i])
-                cut.append(_packed(data.slice(2 * int(x - start[i]), 2 * int(y - x)).to_pybytes()))
-            slot = permute(sequence, n, key)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sequence), pa.array(slot), pa.array(slot // shard_slots), pa.array(a - sequence * length), pa.array(cut, pa.binary()), pa.array(b - a)],
-                                             ["id", "sequence", "slot", "shard", "at", "ids", "size"])
-
-    cut = placed.mapInArrow(pieces, f"id {kind}, sequence long, slot long, shard long, at long, ids binary, size long")
-    cut = cut.repartition(max(1, -(-n // shard_slots)), "shard").sortWithinPartitions("slot", "at")
+            for block in range(batch.num_rows):  # one block's ids at a time
+                origin = batch.column(1)[block].as_py()
+                size = batch.column(3)[block].values.to_numpy()
+                start = origin + np.cumsum(size) - size
+                first, last = start // length, (start + size - 1) // length
+                count = last - first + 1
+                row = np.repeat(np.arange(len(start)), count)
+                sequence = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
+                a = np.maximum(sequence * length, start[row])
+                b = np.minimum((sequence + 1) * length, (start + size)[row])
+                data = _unpacked(batch.column(2)[block], batch.column(4)[block].as_py())
+                slot = permute(sequence, n, key)
+                # the block's pieces of a shard are compressed together
+                order = np.argsort(slot // shard_slots, kind="stable")
+                shard = (slot // shard_slots)[order]
+                edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+                cut = [_packed(b"".join(data.slice(2 * int(a[i] - origin), 2 * int(b[i] - a[i])) for i in order[x:y])) for x, y in zip(edges[:-1], edges[1:])]
+                lists = pa.array(edges, pa.int32())
+                columns = [batch.column(0)[block].values.take(pa.array(row[order])), *[pa.array(x[order]) for x in (sequence, slot, a - sequence * length, b - a)]]
+                yield pa.RecordBatch.from_arrays([pa.array(shard[edges[:-1]]), *[pa.ListArray.from_arrays(lists, x) for x in columns], pa.array(cut, pa.binary())], ["shard", "id", "sequence", "slot", "at", "size", "ids"])
+
+    cut = placed.mapInArrow(pieces, f"shard long, id array<{kind}>, sequence array<long>, slot array<long>, at array<long>, size array<long>, ids binary")
+    cut = cut.repartition(max(1, -(-n // shard_slots)), "shard").sortWithinPartitions("shard")
 
     def write(batches):
         from pyarrow import fs
@@ -170,20 +191,23 @@ def write_shards(docs: DataFrame, vocabulary: str, end: int = 50256, length: int
             yield pa.RecordBatch.from_pydict({
                 "slot": pa.array(slots, pa.int64()), "sequence": pa.array([rows[s][0] for s in slots], pa.int64()), "shard": pa.array([shard] * len(slots), pa.int64()),
                 "offset": pa.array([(s - shard * shard_slots) * length * 2 for s in slots], pa.int64()), "n_tokens": pa.array([rows[s][1] for s in slots], pa.int64()),
-                "doc_ids": pa.array([rows[s][2] for s in slots], pa.list_(held["kind"])), "sha256": [hashlib.sha256(data[s - shard * shard_slots].tobytes()).hexdigest() for s in slots],
+                "doc_ids": pa.array([[i for _, i in sorted(rows[s][2], key=lambda x: x[0])] for s in slots], pa.list_(held["kind"])), "sha256": [hashlib.sha256(data[s - shard * shard_slots].tobytes()).hexdigest() for s in slots],
                 "file": [final] * len(slots)})
 
         for batch in batches:
-            for i, (sequence, slot, shard, at, size) in enumerate(zip(*[batch.column(c).to_pylist() for c in (1, 2, 3, 4, 6)])):
+            for i, shard in enumerate(batch.column(0).to_pylist()):
                 if held.get("shard") != shard:
                     if held:
                         yield from finish()
-                    held = {"shard": shard, "rows": {}, "data": np.full((shard_slots, length), end, "<u2"), "kind": batch.schema.field(0).type}
-                ids = np.frombuffer(_unpacked(batch.column(5)[i], size), "<u2")
-                held["data"][slot - shard * shard_slots, at : at + len(ids)] = ids
-                row = held["rows"].setdefault(slot, [sequence, 0, []])
-                row[1] += len(ids)
-                row[2].append(batch.column(0)[i].as_py())
+                    held = {"shard": shard, "rows": {}, "data": np.full((shard_slots, length), end, "<u2"), "kind": batch.schema.field(1).type.value_type}
+                sizes = batch.column(5)[i].values.to_numpy()
+                ids, first = np.frombuffer(_unpacked(batch.column(6)[i], sizes.sum()), "<u2"), 0
+                for own, sequence, slot, at, size in zip(*[batch.column(c)[i].values.to_pylist() for c in (1, 2, 3, 4, 5)]):
+                    held["data"][slot - shard * shard_slots, at : at + size] = ids[first : first + size]
+                    first += size
+                    row = held["rows"].setdefault(slot, [sequence, 0, []])
+                    row[1] += size
+                    row[2].append((at, own))
         if held:
             yield from finish()
 

@@ -225,3 +225,23 @@ def test_stages_as_a_chain(spark, have):
     empty = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert all(stage(spark, empty, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
     assert docs.where("shard is null").count() == 0 and docs.agg(F.max("shard_bytes")).first()[0] <= queries.PIPELINE_SHARD_BYTES
+
+
+def test_token_blocks_are_compressed_together(spark, monkeypatch):
+    """Texts of a block share one compressed value, which is smaller than one by
+    text; the written stream doesn't depend on the size of a block."""
+    from cohortkit.llm import queries, token_shards
+
+    docs = spark.createDataFrame([(i if i % 9 else None, f"the same words again and again, number {i}" if i % 7 else None) for i in range(400)], "doc_id long, text string").coalesce(1)
+    blocks = token_shards.tokenised(docs, queries.VOCABULARY, 50256).collect()
+    assert len(blocks) == 1 and blocks[0]["size"] == sum(blocks[0]["sizes"]) and len(blocks[0]["id"]) == 400
+    assert len(blocks[0]["ids"]) < sum(len(token_shards._packed(bytes(2 * n))) for n in blocks[0]["sizes"])
+
+    def stream():
+        got = token_shards.write_shards(docs, queries.VOCABULARY, length=64, shard_slots=10).toPandas().sort_values("sequence")
+        ids = np.concatenate([token_shards.read_slot(f, o, 64) for f, o in zip(got.file, got.offset)])
+        return ids[: got.n_tokens.sum()].tolist(), [[None if v is None or v != v else int(v) for v in x] for x in got.doc_ids]
+
+    whole = stream()
+    monkeypatch.setattr(token_shards, "_BLOCK", 64)
+    assert stream() == whole and whole[0].count(50256) == 400
