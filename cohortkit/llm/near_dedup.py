@@ -136,7 +136,8 @@ def signatures(docs: DataFrame, n: int = 5, k: int = 240, id_col: str = "doc_id"
     def sign(batches):
         for batch in batches:
             data, offsets = W.utf8(batch.column(1))
-            for i, j in W.slices(offsets, 1 << 20):
+            # a text has about t darts at any length: many short ones are cut by rows
+            for i, j in W.slices(offsets, 1 << 18, 256):
                 row, unit, n_words, same = shingle_units(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
                 marks = darts(row, unit, j - i, k, t)
                 keep = pa.array(n_words > 0)

@@ -245,3 +245,13 @@ def test_token_blocks_are_compressed_together(spark, monkeypatch):
     whole = stream()
     monkeypatch.setattr(token_shards, "_BLOCK", 64)
     assert stream() == whole and whole[0].count(50256) == 400
+
+
+def test_slices_hold_few_rows_of_short_texts():
+    """Signatures take memory by row, whatever its length."""
+    from cohortkit.llm import words
+
+    offsets = np.arange(2001) * 3
+    cuts = list(words.slices(offsets, 1 << 18, 256))
+    assert [i for i, _ in cuts] == list(range(0, 2000, 256)) and [j for _, j in cuts] == [*range(256, 2000, 256), 2000]
+    assert list(words.slices(np.array([0, 9, 10, 30]), 10, 256)) == [(0, 2), (2, 3)]
