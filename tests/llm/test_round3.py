@@ -255,3 +255,63 @@ def test_slices_hold_few_rows_of_short_texts():
     cuts = list(words.slices(offsets, 1 << 18, 256))
     assert [i for i, _ in cuts] == list(range(0, 2000, 256)) and [j for _, j in cuts] == [*range(256, 2000, 256), 2000]
     assert list(words.slices(np.array([0, 9, 10, 30]), 10, 256)) == [(0, 2), (2, 3)]
+
+
+def _edits(a, b):
+    row, b = np.arange(len(b) + 1), np.array([ord(y) for y in b], dtype=int)
+    for i, x in enumerate(a):
+        step = np.r_[i + 1, np.minimum(row[:-1] + (b != ord(x)), row[1:] + 1)]
+        row = np.minimum.accumulate(step - np.arange(len(step))) + np.arange(len(step))
+    return int(row[-1])
+
+
+@pytest.mark.parametrize("small", [128, 2])
+def test_line_dedup_pairs_brute_force(spark, monkeypatch, small):
+    """Buckets met at once and larger ones by hubs lose none of the near pairs."""
+    monkeypatch.setattr(line_dedup, "_SMALL", small)
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + i % 26)}{i}é" for i in range(60)]
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 2, 3, 9, 40, 90, 150)]
+    for t in list(texts):
+        w = t.split()
+        for k in (1, 2, 6):
+            texts.append(" ".join([*w[:-1], *rng.choice(words, k)]))
+            texts.append(" ".join([*w[k:], *w[:k]]))
+    texts = list(dict.fromkeys(texts))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sims = [r.sim & (2**64 - 1) for r in df.select("doc_id", line_dedup.simhash(F.col("text")).alias("sim")).orderBy("doc_id").collect()]
+    group = list(range(len(texts)))
+    for j, b in enumerate(texts):
+        for i, a in enumerate(texts[:j]):
+            if (sims[i] ^ sims[j]).bit_count() <= 3 and _edits(a, b) <= int(max(len(a), len(b)) * (1 - 0.8) + 1e-9):
+                group = [group[i] if g == group[j] else g for g in group] if group[i] < group[j] else [group[j] if g == group[i] else g for g in group]
+    got = {r.doc_id: r.removed for r in line_dedup.marks(df).collect()}
+    assert {i for i, r in got.items() if r} == {i for i, g in enumerate(group) if g != i} and any(got.values())
+
+
+def test_line_dedup_distance_bounds(spark):
+    """The bounds of the edit distance decide as the distance itself."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (0, 1, 100, 256, 300, 512, 1000):
+        for share in (0, 0.02, 0.1, 0.15, 0.19, 0.2, 0.21, 0.3, 0.9):
+            for kind in range(3):
+                a = "".join(rng.choice(list("abcdeé "), n))
+                b = list(a)
+                for _ in range(int(n * share)):
+                    at = int(rng.integers(0, len(b) + 1))
+                    b[at : at + (kind != 1)] = [] if kind == 2 else [str(rng.choice(list("abcdeé ")))]
+                rows.append((len(rows), a, "".join(b)))
+    rows += [(len(rows), "x" * 60 + rows[-1][1], rows[-1][1] + "y" * 60), (len(rows) + 1, "ab" * 300, "ba" * 300)]
+    got = line_dedup._reached(spark.createDataFrame(rows, "a long, norm_a string, norm_b string").withColumn("b", F.col("a")), 0.8)
+    assert {r.a for r in got.collect()} == {i for i, a, b in rows if _edits(a, b) <= int(max(len(a), len(b)) * (1 - 0.8) + 1e-9)}
+
+
+def test_line_dedup_shuffles_near_members_only(spark, monkeypatch):
+    """Members of a bucket that are near nobody go no further than its join."""
+    sizes = {}
+    real = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: sizes.setdefault(name, real(df, name)))
+    rows = [(i, f"a{i % 7} b{i % 11}") for i in range(77)]  # short lines of few words meet in many buckets
+    line_dedup.marks(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert "line-buckets" not in sizes and sizes["line-met"].count() < 77
